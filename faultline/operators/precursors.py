@@ -5,9 +5,8 @@ the readings are first summed up per second, since all readings of one second sh
 
 1. readings -> cells: one row per entity, second and slice of the key;
 2. cells -> seconds: one row per entity and second;
-3. seconds -> trailing frame: a window per entity and time bucket of at least one frame length, where
-   the end of each bucket is copied into the next one, so that a frame never leaves its bucket. A
-   bucket has at most as many rows as it has seconds, however many readings it holds;
+3. seconds -> trailing frame: running sums per entity and block of one frame length. A block has at
+   most two rows per second, however many readings it holds;
 4. the result goes back to cells, and from cells to readings. Readings of one hot second spread over
    the slices of their keys.
 
@@ -132,59 +131,74 @@ def _trailing(
     include_current: bool,
     previous: bool,
 ) -> DataFrame:
-    """Trailing statistics and the last earlier reading, one row per entity, second and slice."""
-    width = max(bucket_seconds, frame_seconds)
-    home = F.floor(F.col("_second") / width)
-    seen_later = F.pmod("_second", F.lit(width)) >= width - frame_seconds
-    bucketed = seconds.withColumn("_home", home).withColumn(
-        "_bucket",
-        F.explode(F.when(seen_later, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))),
-    )
-    in_order = Window.partitionBy(*keys, "_bucket").orderBy("_second")
-    frame = in_order.rangeBetween(-frame_seconds, 0 if include_current else -1)
+    """Trailing statistics and the last earlier reading, one row per entity, second and slice.
 
-    def total(name: str) -> Column:
-        return F.sum(name).over(frame)
+    Time is cut into blocks of one frame length. The frame of a second is then the start of its own
+    block up to it, and the end of the block before. Every second takes part in its own block and,
+    moved on by one frame length, in the next: there the readings of the block before that are
+    still in the frame are those not before it. Both parts are running sums, so the work does not
+    grow with the length of the frame.
+    """
+    sums = ["flags", "value_sum", "value_n", "stress_sum", "stress_n"]
+    per_bucket = max(bucket_seconds // frame_seconds, 1)
+    placed = (
+        seconds.withColumn("_moved", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("_at", F.col("_second") + F.col("_moved") * frame_seconds)
+        .withColumn("_block", F.floor(F.col("_at") / frame_seconds))
+        .withColumn("_bucket", F.floor(F.col("_block") / per_bucket))
+    )
+    own = F.col("_moved") == 0
 
-    derived = {
-        "nb_secousses_precedentes": F.coalesce(total("flags"), F.lit(0)),
-        "magnitude_moy_precedente": ratio(total("value_sum"), total("value_n")),
-        "tension_moy_precedente": ratio(total("stress_sum"), total("stress_n")),
-    }
     if previous:
-        derived["_last"] = F.lag(F.element_at("slices", -1)).over(in_order)
-    framed = bucketed.withColumns(derived).filter("_bucket = _home")
-    if not previous:
-        return framed.select(
-            *keys, "_second", *list(derived), F.explode("slices._slice").alias("_slice")
+        # The last reading before this second, if it lies in the same bucket of blocks.
+        in_bucket = Window.partitionBy(*keys, "_bucket")
+        earlier = in_bucket.orderBy("_block", "_at").rowsBetween(Window.unboundedPreceding, -1)
+        last = F.when(own, F.element_at("slices", -1))
+        placed = placed.withColumns(
+            {
+                "_last": F.last(last, ignorenulls=True).over(earlier),
+                "_end": F.max(F.when(own, F.col("_at"))).over(in_bucket),
+            }
         )
 
-    # The first second of a bucket may follow a second further back than one frame: take the last
-    # second of the nearest earlier bucket that has any. One row per bucket goes into this window.
-    carried = (
-        seconds.withColumn("_bucket", home)
-        .groupBy(*keys, "_bucket")
-        .agg(F.max_by(F.element_at("slices", -1), "_second").alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bucket")))
-        .drop("_last")
+    in_block = Window.partitionBy(*keys, "_bucket", "_block")
+    until = in_block.orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, 0 if include_current else -1
     )
-    slices = (
-        framed.join(carried, [*keys, "_bucket"])
-        .withColumn("_last", F.coalesce("_last", "_carried"))
-        .select("*", F.posexplode("slices").alias("_at", "_own"))
+    since = in_block.orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, 0)
+
+    def total(name: str) -> Column:
+        here = F.sum(F.when(own, F.col(name))).over(until)
+        before = F.sum(F.when(~own, F.col(name))).over(since)
+        return F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))
+
+    framed = placed.withColumns({f"_{name}": total(name) for name in sums}).filter(own)
+    statistics = [
+        F.col("_flags").alias("nb_secousses_precedentes"),
+        ratio(F.col("_value_sum"), F.col("_value_n")).alias("magnitude_moy_precedente"),
+        ratio(F.col("_stress_sum"), F.col("_stress_n")).alias("tension_moy_precedente"),
+    ]
+    if not previous:
+        return framed.select(*keys, "_second", *statistics, F.explode("slices._slice").alias("_slice"))
+
+    # The first second of a bucket follows the last one of the nearest earlier bucket that has any.
+    # Only these two seconds of each bucket meet in one window; the others stay in their buckets.
+    edge = F.col("_last").isNull() | (F.col("_second") == F.col("_end"))
+    across = Window.partitionBy(*keys, F.when(~edge, F.col("_bucket"))).orderBy("_second")
+    linked = framed.withColumn(
+        "_last", F.coalesce("_last", F.lag(F.element_at("slices", -1)).over(across))
     )
     # Within one second the previous slice is the element before this one.
-    earlier = F.when(F.col("_at") == 0, F.col("_last")).otherwise(
-        F.get("slices", F.col("_at") - 1)
+    each_slice = linked.select("*", F.posexplode("slices").alias("_nth", "_this"))
+    preceding = F.when(F.col("_nth") == 0, F.col("_last")).otherwise(
+        F.get("slices", F.col("_nth") - 1)
     )
-    return slices.select(
+    return each_slice.select(
         *keys,
         "_second",
-        F.col("_own._slice").alias("_slice"),
-        earlier.alias("_earlier"),
-        "nb_secousses_precedentes",
-        "magnitude_moy_precedente",
-        "tension_moy_precedente",
+        F.col("_this._slice").alias("_slice"),
+        preceding.alias("_earlier"),
+        *statistics,
     )
 
 
