@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 from faultline.functions.stats import ratio
 from faultline.schemas import COLUMNS, Columns
 
-NO_TIME = -(2**62)
+# Stand in for a missing time or key: before any real one, and exact as a double.
+NO_TIME = -(2**50)
 NO_KEY = -(2**63)
 
 # Width of a key slice, and number of slices where keys are not integers.
@@ -64,7 +65,7 @@ def precursor_features(
     """Add `time_seconds`, the previous reading's value and stress, and trailing-frame statistics.
 
     The frame holds the last `frame_seconds` up to and including the second of the reading; without
-    `include_current`, only the seconds before it. `previous=False` leaves out the previous
+    `include_current`, only the seconds before it (none, for a reading without a time). `previous=False` leaves out the previous
     reading, for callers that need the frame only.
     """
     keys = ["_entity"] if entity else []
