@@ -61,11 +61,15 @@ def stage_table(df: DataFrame, purpose: str) -> DataFrame:
 def attach(df: DataFrame, small: DataFrame, entity: str | None = None) -> DataFrame:
     """Add the columns of `small` to every row of `df`: one row overall, or one row per entity.
 
-    The one-row form is always broadcast. The keyed form is broadcast only after counting; beyond
-    the limit it is an ordinary join, where adaptive execution splits skewed partitions.
+    The one-row form is a scalar subquery; a comparison with a single column reaches the scan as a
+    literal. The keyed form is broadcast only after counting; beyond the limit it is an ordinary
+    join, where adaptive execution splits skewed partitions.
     """
+    if entity is None and len(small.columns) == 1:
+        return df.withColumn(small.columns[0], small.scalar())
     if entity is None:
-        return df.crossJoin(F.broadcast(small))
+        row = small.select(F.struct(*small.columns).alias("_row")).scalar()
+        return df.withColumn("_row", row).select(*df.columns, "_row.*")
     if small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         small = F.broadcast(small)
     return df.join(small, entity)
