@@ -28,7 +28,7 @@ NO_KEY = -(2**63)
 
 # Width of a key slice, and number of slices where keys are not integers.
 KEY_SLICE = 10_000_000
-HASH_SLICES = 256
+HASH_SLICES = 1024
 
 SEQUENCE_COLUMNS = [
     "magnitude",
@@ -39,17 +39,19 @@ SEQUENCE_COLUMNS = [
 ]
 
 
-def _tie_break(df: DataFrame, key: str | None, cols: Columns) -> tuple[Column, Column]:
+def _tie_break(df: DataFrame, key: str | None) -> tuple[Column, Column]:
     """Order of the readings within one second, and a slice number that never contradicts it.
 
-    Integer keys are ordered as they are and sliced by range. Other keys, or the reading itself
-    where there is no key, are ordered by slice (a hash) first.
+    Integer keys are ordered as they are. Other keys, or the whole reading where there is no key,
+    are ordered by a hash. Either way the order is a single number, which `max_by` keeps in a hash
+    aggregation, and a slice is a range of it.
     """
     if key and isinstance(df.schema[key].dataType, T.IntegralType):
-        order = F.coalesce(F.col(key).cast("bigint"), F.lit(NO_KEY))
-        return order, F.floor(order / KEY_SLICE)
-    parts = [F.col(key)] if key else [F.col(cols.value), F.col(cols.stress), F.col(cols.flag)]
-    return F.struct(*parts), F.pmod(F.xxhash64(*parts), F.lit(HASH_SLICES))
+        order, width = F.coalesce(F.col(key).cast("bigint"), F.lit(NO_KEY)), KEY_SLICE
+    else:
+        atomic = [field.name for field in df.schema if isinstance(field.dataType, T.AtomicType)]
+        order, width = F.xxhash64(*([key] if key else atomic)), 2**64 // HASH_SLICES
+    return order, F.floor(order / width)
 
 
 def precursor_features(
@@ -69,7 +71,7 @@ def precursor_features(
     reading, for callers that need the frame only.
     """
     keys = ["_entity"] if entity else []
-    order, slice_ = _tie_break(df, key, cols)
+    order, slice_ = _tie_break(df, key)
     seconds_of = F.unix_timestamp(cols.time)
     rows = df.withColumns(
         {

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from faultline.operators.precursors import HASH_SLICES, precursor_features
+from faultline.operators.precursors import precursor_features
 from faultline.operators.thresholds import magnitude_threshold, mark_major
 from faultline.plans.inputs import event_readings
 from faultline.plans.queries import comparable
@@ -91,10 +91,9 @@ def test_equals_plain_windows(spark, monkeypatch, entity, include_current, frame
 @pytest.mark.parametrize("entity", [None, "ville"])
 def test_without_integer_key_ties_follow_a_hash(spark, entity):
     df = noisy(spark, 300, 5_000, seed=5).withColumn("nom", F.concat(F.lit("r"), "event_id"))
-    for key, parts in (("nom", ["nom"]), (None, ["magnitude", "tension_entre_plaque", "secousse"])):
-        slice_ = F.pmod(F.xxhash64(*parts), F.lit(HASH_SLICES))
+    for key, parts in (("nom", ["nom"]), (None, df.columns)):
         got = precursor_features(df, entity=entity, key=key)
-        expected = plain(df, entity=entity, order=(slice_, F.struct(*parts)))
+        expected = plain(df, entity=entity, order=(F.xxhash64(*parts),))
         columns = ["time_seconds", "magnitude", "tension_entre_plaque", "secousse", "ville"]
         # Readings equal in every part of the order may change places.
         assert sorted(map(str, comparable(got.select(*columns, *DERIVED)).collect())) == sorted(
@@ -123,6 +122,12 @@ def test_all_readings_never_meet_in_one_task(spark, sf_dir):
     assert "SinglePartition" not in plan
 
 
+def test_cells_are_hash_aggregated(spark):
+    df = noisy(spark, 10, 100, seed=3).withColumn("nom", F.col("event_id").cast("string"))
+    for key in ("event_id", "nom", None):
+        assert "SortAggregate" not in executed(precursor_features(df, key=key))
+
+
 def test_filter_runs_below_the_join(spark, sf_dir):
     df = event_readings(spark, sf_dir)
     marked = mark_major(df, magnitude_threshold(df))
