@@ -14,12 +14,17 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from faultline.operators.clean import clean_readings, rejects
 from faultline.operators.rollups import hourly_stats
 from faultline.plans.reports import aggregation_report, precursor_report
-from faultline.schemas import RAW_CITY_READINGS, RAW_READINGS
+from faultline.schemas import (
+    CLEAN_CITY_READINGS,
+    CLEAN_READINGS,
+    RAW_CITY_READINGS,
+    RAW_READINGS,
+)
 from faultline.session import build_session
 from faultline.sources.readers import read_csv, read_parquet, read_stream
 from faultline.sources.sinks import save_tables, write_csv, write_parquet
@@ -30,6 +35,12 @@ def options(pairs: Sequence[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
+def cleaned(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.source_format == "parquet":
+        return read_parquet(spark, args.source)
+    return read_csv(spark, args.source, CLEAN_CITY_READINGS if args.city else CLEAN_READINGS)
+
+
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     """Raw CSV files to cleaned readings, and the raw rows with unreadable fields beside them."""
     raw = read_csv(spark, args.source, RAW_CITY_READINGS if args.city else RAW_READINGS)
@@ -40,26 +51,22 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def hourly(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_parquet(hourly_stats(read_parquet(spark, args.source)), args.target)
+    write_parquet(hourly_stats(cleaned(spark, args)), args.target)
 
 
 def aggregate(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = aggregation_report(read_parquet(spark, args.source), args.entity)
+    report = aggregation_report(cleaned(spark, args), args.entity)
     save_tables(report, args.target)
 
 
 def precursors(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = precursor_report(
-        read_parquet(spark, args.source), args.frame_seconds, args.entity, args.key
-    )
+    report = precursor_report(cleaned(spark, args), args.frame_seconds, args.entity, args.key)
     save_tables(report, args.target)
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
     """Cleaned readings to messages."""
-    sent = messages.encode_messages(
-        read_parquet(spark, args.source), args.laps, args.lap_seconds
-    )
+    sent = messages.encode_messages(cleaned(spark, args), args.laps, args.lap_seconds)
     messages.write_messages(sent, args.format, options(args.option))
 
 
@@ -82,12 +89,14 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         if source:
             sub.add_argument("--source", required=True)
+            sub.add_argument("--city", action="store_true", help="CSV files with a city column")
+            if run is not clean:
+                sub.add_argument("--source-format", choices=["parquet", "csv"], default="parquet")
         if target:
             sub.add_argument("--target", required=True)
         return sub
 
     sub = job(clean)
-    sub.add_argument("--city", action="store_true")
     sub.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     sub.add_argument("--rejects")
     job(hourly)

@@ -46,6 +46,25 @@ RAW_CITY_READINGS = T.StructType(
     ]
 )
 
+# Cleaned readings, for reading them back from CSV.
+CLEAN_READINGS = T.StructType(
+    [
+        T.StructField("date", T.TimestampType()),
+        T.StructField("secousse", T.BooleanType()),
+        T.StructField("magnitude", T.DoubleType()),
+        T.StructField("tension_entre_plaque", T.DoubleType()),
+    ]
+)
+CLEAN_CITY_READINGS = T.StructType(
+    [
+        T.StructField("date", T.TimestampType()),
+        T.StructField("ville", T.StringType()),
+        T.StructField("secousse", T.BooleanType()),
+        T.StructField("magnitude", T.DoubleType()),
+        T.StructField("tension_entre_plaque", T.DoubleType()),
+    ]
+)
+
 # External tables over the same files, typed by the table definition.
 READINGS_TABLE = T.StructType(
     [

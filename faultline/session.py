@@ -33,9 +33,9 @@ def build_session(app: str = "faultline", master: str | None = None, **conf: obj
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the shared folder of the cluster (`spark.checkpoint.dir`).
 
-    Only a local session without that setting falls back to a temporary folder of the machine.
+    Only a local session without a checkpoint folder falls back to a temporary one of the machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

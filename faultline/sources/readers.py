@@ -9,8 +9,11 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    """CSV files with a header line. The schema is given, so no pass over the data infers it."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV files with a header line. The schema is given, so no pass over the data infers it.
+
+    A file whose header names other columns, or the same in another order, is an error.
+    """
+    return spark.read.schema(schema).options(header=True, enforceSchema=False).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

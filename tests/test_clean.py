@@ -3,9 +3,11 @@ from __future__ import annotations
 import math
 from datetime import datetime
 
+import pytest
+
 from faultline.operators.clean import clean_readings, rejects
 from faultline.operators.rollups import hour_profile, window_stats
-from faultline.schemas import CITY_READINGS_TABLE, RAW_CITY_READINGS, RAW_READINGS
+from faultline.schemas import CITY_READINGS_TABLE, CLEAN_READINGS, RAW_CITY_READINGS, RAW_READINGS
 from faultline.sources import catalog, readers, sinks
 from helpers import collect
 
@@ -75,6 +77,19 @@ def test_csv_round_trip_keeps_cleaned_readings(spark, tmp_path):
     )
 
 
+def test_cleaned_csv_is_read_back_as_it_was(spark, tmp_path):
+    cleaned = clean_readings(raw(spark))
+    sinks.write_csv(cleaned, str(tmp_path / "clean"))
+    back = readers.read_csv(spark, str(tmp_path / "clean"), CLEAN_READINGS)
+    assert sorted(map(str, back.collect())) == sorted(map(str, cleaned.collect()))
+
+
+def test_other_headers_are_refused(spark, tmp_path):
+    sinks.write_csv(raw(spark).select("secousse", "date", "magnitude"), str(tmp_path / "odd"))
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path / "odd"), RAW_READINGS).collect()
+
+
 def test_partitioned_parquet(spark, tmp_path):
     cleaned = clean_readings(raw(spark)).selectExpr("*", "to_date(date) AS jour")
     sinks.write_parquet(cleaned, str(tmp_path / "t"), partition_by=["jour"])

@@ -31,6 +31,9 @@ def test_from_landed_files_to_alerts(spark, tmp_path):
     timed = table("clean").filter("date IS NOT NULL").count()
     assert table("hourly").selectExpr("sum(nombre_observations)").first()[0] == timed
 
+    job("hourly", "--source", "@clean_csv", "--source-format", "csv", "--city", "--target", "@same")
+    assert table("same").exceptAll(table("hourly")).isEmpty()
+
     job("aggregate", "--source", "@clean", "--entity", "ville", "--target", "@report")
     assert table("report/agg_ville_heure").select("ville").distinct().count() == 5
 
