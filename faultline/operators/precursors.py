@@ -30,6 +30,8 @@ NO_KEY = -(2**63)
 KEY_SLICE = 10_000_000
 HASH_SLICES = 1024
 
+SUMS = ["flags", "value_sum", "value_n", "stress_sum", "stress_n"]
+
 SEQUENCE_COLUMNS = [
     "magnitude",
     "tension_entre_plaque",
@@ -67,21 +69,18 @@ def precursor_features(
     """Add `time_seconds`, the previous reading's value and stress, and trailing-frame statistics.
 
     The frame holds the last `frame_seconds` up to and including the second of the reading; without
-    `include_current`, only the seconds before it (none, for a reading without a time). `previous=False` leaves out the previous
-    reading, for callers that need the frame only.
+    `include_current`, only the seconds before it (none, for a reading without a time).
+    `previous=False` leaves out the previous reading, for callers that need the frame only.
     """
-    keys = ["_entity"] if entity else []
     order, slice_ = _tie_break(df, key)
-    seconds_of = F.unix_timestamp(cols.time)
-    rows = df.withColumns(
-        {
-            "time_seconds": seconds_of,
-            "_second": F.coalesce(seconds_of, F.lit(NO_TIME)),
-            "_slice": slice_,
-            # Null entities are a group too; joins need a key that equals itself.
-            **({"_entity": F.coalesce(F.concat(F.lit("="), F.col(entity)), F.lit(""))} if entity else {}),
-        }
+    rows = df.withColumn("time_seconds", F.unix_timestamp(cols.time)).withColumns(
+        {"_second": F.coalesce("time_seconds", F.lit(NO_TIME)), "_slice": slice_}
     )
+    keys = []
+    if entity:
+        # Null entities are a group too; joins need a key that equals itself.
+        keys = ["_entity"]
+        rows = rows.withColumn("_entity", F.coalesce(F.concat(F.lit("="), entity), F.lit("")))
 
     cells = rows.groupBy(*keys, "_second", "_slice").agg(
         F.count_if(cols.flag).alias("flags"),
@@ -92,9 +91,10 @@ def precursor_features(
         F.max_by(cols.value, order).alias("value"),
         F.max_by(cols.stress, order).alias("stress"),
     )
+    # As many slices as the keys of one second span, each with its last reading.
     last = F.struct("_slice", "value", "stress") if previous else F.struct("_slice")
     seconds = cells.groupBy(*keys, "_second").agg(
-        *(F.sum(name).alias(name) for name in ("flags", "value_sum", "value_n", "stress_sum", "stress_n")),
+        *(F.sum(name).alias(name) for name in SUMS),
         F.sort_array(F.collect_list(last)).alias("slices"),
     )
 
@@ -142,7 +142,6 @@ def _trailing(
     still in the frame are those not before it. Both parts are running sums, so the work does not
     grow with the length of the frame.
     """
-    sums = ["flags", "value_sum", "value_n", "stress_sum", "stress_n"]
     per_bucket = max(bucket_seconds // frame_seconds, 1)
     placed = (
         seconds.withColumn("_moved", F.explode(F.array(F.lit(0), F.lit(1))))
@@ -175,7 +174,7 @@ def _trailing(
         before = F.sum(F.when(~own, F.col(name))).over(since)
         return F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))
 
-    framed = placed.withColumns({f"_{name}": total(name) for name in sums}).filter(own)
+    framed = placed.withColumns({f"_{name}": total(name) for name in SUMS}).filter(own)
     statistics = [
         F.col("_flags").alias("nb_secousses_precedentes"),
         ratio(F.col("_value_sum"), F.col("_value_n")).alias("magnitude_moy_precedente"),
