@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from faultline.schemas import COLUMNS, Columns
-
-
-def reading_stats(cols: Columns = COLUMNS) -> list[Column]:
-    """The five statistics of every rollup of readings."""
-    return [
-        F.count(F.lit(1)).alias("nombre_observations"),
-        F.count_if(cols.flag).alias("nombre_secousses"),
-        F.avg(cols.value).alias("magnitude_moyenne"),
-        F.max(cols.value).alias("magnitude_max"),
-        F.avg(cols.stress).alias("tension_moyenne"),
-    ]
 
 
 def ratio(total: Column, count: Column) -> Column:

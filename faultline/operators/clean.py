@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.functions.coercion import to_flag, to_number, to_time
-from faultline.schemas import COLUMNS, RENAMES, Columns
+from faultline.columns import COLUMNS, Columns
+from faultline.schemas import RENAMES
 
 
 def _typed(cols: Columns) -> dict[str, Column]:

@@ -6,22 +6,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.operators.thresholds import major_events
-from faultline.schemas import COLUMNS, Columns
+from faultline.columns import COLUMNS, Columns
+
+
+def peak_windows(major: DataFrame, width: str = "30 minutes", cols: Columns = COLUMNS) -> DataFrame:
+    """Number, mean and largest value of major events per window."""
+    return major.groupBy(F.window(cols.time, width)).agg(
+        cols.count().alias("nombre_evenements"),
+        cols.value_mean().alias("magnitude_moyenne"),
+        cols.value_max().alias("magnitude_max"),
+    )
+
+
+def critical_windows(
+    major: DataFrame, entity: str = "ville", width: str = "1 hour", cols: Columns = COLUMNS
+) -> DataFrame:
+    """Number, largest value and mean stress of major events per entity and window."""
+    return major.groupBy(entity, F.window(cols.time, width)).agg(
+        cols.count().alias("nombre_evenements"),
+        cols.value_max().alias("magnitude_max"),
+        cols.stress_mean().alias("tension_moyenne"),
+    )
 
 
 def activity_peaks(
     df: DataFrame, threshold: DataFrame, width: str = "30 minutes", cols: Columns = COLUMNS
 ) -> DataFrame:
-    """Major events per window."""
-    return (
-        major_events(df, threshold, cols=cols)
-        .groupBy(F.window(cols.time, width))
-        .agg(
-            F.count(F.lit(1)).alias("nombre_evenements"),
-            F.avg(cols.value).alias("magnitude_moyenne"),
-            F.max(cols.value).alias("magnitude_max"),
-        )
-    )
+    """Readings above the threshold per window."""
+    return peak_windows(major_events(df, threshold, cols=cols), width, cols)
 
 
 def critical_periods(
@@ -32,15 +44,7 @@ def critical_periods(
     cols: Columns = COLUMNS,
 ) -> DataFrame:
     """Readings above one threshold shared by all entities, per entity and window."""
-    return (
-        major_events(df, threshold, cols=cols)
-        .groupBy(entity, F.window(cols.time, width))
-        .agg(
-            F.count(F.lit(1)).alias("nombre_evenements"),
-            F.max(cols.value).alias("magnitude_max"),
-            F.avg(cols.stress).alias("tension_moyenne"),
-        )
-    )
+    return critical_windows(major_events(df, threshold, cols=cols), entity, width, cols)
 
 
 def major_event_hours(
@@ -51,7 +55,7 @@ def major_event_hours(
     return (
         major_events(df, threshold, entity, cols)
         .groupBy(*keys, F.hour(cols.time).alias("heure"))
-        .agg(F.count(F.lit(1)).alias("nombre_evenements"))
+        .agg(cols.count().alias("nombre_evenements"))
     )
 
 
@@ -90,7 +94,7 @@ def entity_ranking(df: DataFrame, entity: str = "ville", cols: Columns = COLUMNS
     The ranks are taken over one row per entity.
     """
     totals = df.groupBy(entity).agg(
-        F.count_if(cols.flag).alias("nombre_secousses"), F.max(cols.value).alias("magnitude_max")
+        cols.flagged().alias("nombre_secousses"), cols.value_max().alias("magnitude_max")
     )
     by_count = Window.orderBy(F.desc("nombre_secousses"))
     by_value = Window.orderBy(F.desc_nulls_last("magnitude_max"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.stats import ratio
-from faultline.schemas import COLUMNS, Columns
+from faultline.columns import COLUMNS, Columns
 
 # Stand in for a missing time or key: before any real one, and exact as a double.
 NO_TIME = -(2**50)

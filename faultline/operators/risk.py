@@ -7,9 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.stats import ratio
+from faultline.columns import COLUMNS, PANES, Columns, pane_sums
 from faultline.functions.timeparts import duration_seconds
-from faultline.schemas import COLUMNS, Columns
 
 # --- fixed values: risk levels, their cuts and the alert texts ---------------------------------
 HIGH = "ÉLEVÉ"
@@ -61,30 +60,16 @@ def sliding_stats(
 
     In batch, readings are first summed up per slide and only these sums are put into their
     windows, so a reading is not copied once per window it falls into. A stream, or a width that is
-    no multiple of the slide, uses the sliding window directly.
+    no multiple of the slide, puts the readings themselves into the windows.
     """
-    if df.isStreaming or duration_seconds(width) % duration_seconds(slide):
-        return df.groupBy(F.window(cols.time, width, slide)).agg(
-            F.avg(cols.stress).alias("tension_avg"),
-            F.max(cols.stress).alias("tension_max"),
-            F.min(cols.stress).alias("tension_min"),
-            F.count_if(cols.flag).alias("nb_secousses"),
-            F.max(cols.value).alias("max_magnitude"),
-        )
-    panes = df.groupBy(F.window(cols.time, slide).alias("pane")).agg(
-        F.sum(cols.stress).alias("stress_sum"),
-        F.count(cols.stress).alias("stress_n"),
-        F.max(cols.stress).alias("stress_max"),
-        F.min(cols.stress).alias("stress_min"),
-        F.count_if(cols.flag).alias("flags"),
-        F.max(cols.value).alias("value_max"),
-    )
-    return panes.groupBy(F.window("pane.start", width, slide).alias("window")).agg(
-        ratio(F.sum("stress_sum"), F.sum("stress_n")).alias("tension_avg"),
-        F.max("stress_max").alias("tension_max"),
-        F.min("stress_min").alias("tension_min"),
-        F.sum("flags").alias("nb_secousses"),
-        F.max("value_max").alias("max_magnitude"),
+    if not df.isStreaming and duration_seconds(width) % duration_seconds(slide) == 0:
+        df, cols = pane_sums(df, slide, cols=cols), PANES
+    return df.groupBy(F.window(cols.time, width, slide)).agg(
+        cols.stress_mean().alias("tension_avg"),
+        cols.stress_max().alias("tension_max"),
+        cols.stress_min().alias("tension_min"),
+        cols.flagged().alias("nb_secousses"),
+        cols.value_max().alias("max_magnitude"),
     )
 
 

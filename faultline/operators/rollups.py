@@ -9,11 +9,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.stats import reading_stats
-from faultline.schemas import COLUMNS, TIME_FORMAT, Columns
+from faultline.columns import COLUMNS, Columns
+from faultline.schemas import TIME_FORMAT
+
+
+def reading_stats(cols: Columns = COLUMNS) -> list[Column]:
+    """The five statistics of every rollup of readings."""
+    return [
+        cols.count().alias("nombre_observations"),
+        cols.flagged().alias("nombre_secousses"),
+        cols.value_mean().alias("magnitude_moyenne"),
+        cols.value_max().alias("magnitude_max"),
+        cols.stress_mean().alias("tension_moyenne"),
+    ]
 
 
 def _keys(entity: str | None) -> list[str]:
@@ -45,17 +56,16 @@ def hour_profile(df: DataFrame, entity: str | None = None, cols: Columns = COLUM
 
 def stress_trend(df: DataFrame, width: str = "1 hour", cols: Columns = COLUMNS) -> DataFrame:
     """Mean stress per window: over all readings and over flagged readings only."""
-    flagged_stress = F.when(F.col(cols.flag), F.col(cols.stress))
     return df.groupBy(F.window(cols.time, width)).agg(
-        F.avg(cols.stress).alias("tension_moyenne"),
-        F.avg(flagged_stress).alias("tension_moyenne_secousses"),
-        F.count_if(cols.flag).alias("nombre_secousses"),
+        cols.stress_mean().alias("tension_moyenne"),
+        cols.stress_mean_flagged().alias("tension_moyenne_secousses"),
+        cols.flagged().alias("nombre_secousses"),
     )
 
 
 def flag_counts(df: DataFrame, entity: str, cols: Columns = COLUMNS) -> DataFrame:
     """Flagged readings per entity."""
-    return df.groupBy(entity).agg(F.count_if(cols.flag).alias("nombre_secousses"))
+    return df.groupBy(entity).agg(cols.flagged().alias("nombre_secousses"))
 
 
 def mean_above(df: DataFrame, floor: float = 0.0, cols: Columns = COLUMNS) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from faultline.schemas import COLUMNS, Columns
+from faultline.columns import COLUMNS, Columns
 from faultline.session import attach, stage
 
-# Bins per pass. Each pass keeps one bin per entity, so a pass narrows the search this many times.
-BINS = 65_536
+# Bins per pass and entity: each pass narrows the search this many times. Many entities share the
+# bins of one pass, so that a pass shuffles a bounded number of rows per task.
+MOST_BINS = 65_536
+LEAST_BINS = 256
+ALL_BINS = 16_777_216
 
 # Values are ranked inside this range, so that the width of the range is itself a finite number.
 FAR = 8e307
@@ -35,14 +38,17 @@ def magnitude_threshold(
 
     wanted = F.greatest(F.ceil(F.lit(q) * F.count("v")), F.lit(1)).alias("rang")
     found = stage(values.groupBy(*keys).agg(wanted, F.min("v").alias("lo"), F.max("v").alias("hi")))
+    bins_each = MOST_BINS
+    if entity:
+        bins_each = min(MOST_BINS, max(LEAST_BINS, ALL_BINS // max(found.count(), 1)))
     while not found.filter("lo < hi").isEmpty():
         bins = (
             attach(values, found, entity)
             .filter("v BETWEEN lo AND hi")
-            .groupBy(*keys, "rang", F.width_bucket("v", "lo", "hi", F.lit(BINS)).alias("bin"))
+            .groupBy(*keys, "rang", F.width_bucket("v", "lo", "hi", F.lit(bins_each)).alias("bin"))
             .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         )
-        # At most BINS + 1 rows per entity reach this window.
+        # At most `bins_each` + 1 rows per entity reach this window.
         upto = F.sum("n").over(Window.partitionBy(*keys, "rang").orderBy("lo"))
         found = stage(
             bins.withColumn("upto", upto)

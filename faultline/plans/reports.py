@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from faultline.operators.correlate import correlation_pairs, describe_columns
-from faultline.operators.peaks import activity_peaks, critical_periods, major_event_hours
+from faultline.operators.peaks import critical_windows, major_event_hours, peak_windows
 from faultline.operators.precursors import (
     precursor_conditions,
     precursor_features,
@@ -13,7 +13,7 @@ from faultline.operators.precursors import (
 )
 from faultline.operators.rollups import hour_profile, stress_trend, window_stats
 from faultline.operators.thresholds import magnitude_threshold, mark_major
-from faultline.schemas import COLUMNS, Columns
+from faultline.columns import COLUMNS, PANES, Columns, pane_sums
 from faultline.session import stage_table
 
 
@@ -22,23 +22,24 @@ def aggregation_report(
 ) -> dict[str, DataFrame]:
     """Rollups and peaks; with `entity`, also its profile and critical periods.
 
-    The threshold is the same for all entities. `ordered` sorts every table for reading; for
-    storing, the sort is a shuffle without use.
+    The threshold is the same for all entities. All tables are made of quarter hours, so the
+    readings are summed up per quarter hour once, and every table is computed from these sums.
+    `ordered` sorts every table for reading; for storing, the sort is a shuffle without use.
     """
-    threshold = magnitude_threshold(df, cols=cols)
+    marked = mark_major(df, magnitude_threshold(df, cols=cols), cols=cols)
+    keys = ["majeur", entity] if entity else ["majeur"]
+    panes = stage_table(pane_sums(marked, "15 minutes", keys, cols), "quarter-hours")
+    major = panes.filter("majeur")
     tables = {
-        "agg_horaire": (hour_profile(df, cols=cols), ["heure"]),
-        "agg_15min": (window_stats(df, "15 minutes", cols=cols), ["window.start"]),
-        "pics_activite": (
-            activity_peaks(df, threshold, cols=cols),
-            ["-nombre_evenements", "window.start"],
-        ),
-        "tendances_tension": (stress_trend(df, cols=cols), ["window.start"]),
+        "agg_horaire": (hour_profile(panes, cols=PANES), ["heure"]),
+        "agg_15min": (window_stats(panes, "15 minutes", cols=PANES), ["window.start"]),
+        "pics_activite": (peak_windows(major, cols=PANES), ["-nombre_evenements", "window.start"]),
+        "tendances_tension": (stress_trend(panes, cols=PANES), ["window.start"]),
     }
     if entity:
-        tables["agg_ville_heure"] = (hour_profile(df, entity, cols), [entity, "heure"])
+        tables["agg_ville_heure"] = (hour_profile(panes, entity, PANES), [entity, "heure"])
         tables["periodes_critiques"] = (
-            critical_periods(df, threshold, entity, cols=cols),
+            critical_windows(major, entity, cols=PANES),
             ["-nombre_evenements", "window.start", entity],
         )
     return {name: _sorted(df, order) if ordered else df for name, (df, order) in tables.items()}

@@ -1,27 +1,10 @@
-"""Column names, input schemas and other fixed values of the data model."""
+"""Input and table schemas and formats."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import types as T
 
 
-@dataclass(frozen=True)
-class Columns:
-    """Names of the columns an operator works on; the defaults are those of cleaned readings."""
-
-    time: str = "date"
-    flag: str = "secousse"
-    value: str = "magnitude"
-    stress: str = "tension_entre_plaque"
-
-
-COLUMNS = Columns()
-
-# Streamed readings carry the parsed event time under its own name.
-STREAM_COLUMNS = Columns(time="event_time")
-
 # --- fixed values: formats and schemas of the files, tables and messages -----------------------
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from faultline.operators.risk import RULES, RiskRules, risk_alerts
-from faultline.schemas import STREAM_COLUMNS, Columns
+from faultline.columns import STREAM_COLUMNS, Columns
 
 
 def risk_stream(

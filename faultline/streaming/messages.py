@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.functions.coercion import nan_to_null, to_time
-from faultline.schemas import COLUMNS, MESSAGE, TIME_FORMAT, Columns
+from faultline.columns import COLUMNS, Columns
+from faultline.schemas import MESSAGE, TIME_FORMAT
 
 CORRUPT = "_corrupt_record"
 

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from faultline.operators import peaks, rollups
+from faultline.operators.thresholds import magnitude_threshold
 from faultline.plans.inputs import event_readings
 from faultline.plans.queries import comparable
 from faultline.plans.reports import aggregation_report, precursor_report
@@ -32,6 +35,24 @@ def test_tables_survive_saving(spark, df, tmp_path):
         assert read_parquet(spark, path).count() == report[name].count()
 
 
+def test_tables_equal_the_single_operators(spark, df):
+    late = df.limit(1).withColumn("date", F.lit(None).cast("timestamp_ntz"))
+    gaps = df.unionByName(late)
+    threshold = magnitude_threshold(gaps)
+    direct = {
+        "agg_horaire": rollups.hour_profile(gaps),
+        "agg_15min": rollups.window_stats(gaps, "15 minutes"),
+        "pics_activite": peaks.activity_peaks(gaps, threshold),
+        "tendances_tension": rollups.stress_trend(gaps),
+        "agg_ville_heure": rollups.hour_profile(gaps, "ville"),
+        "periodes_critiques": peaks.critical_periods(gaps, threshold),
+    }
+    for name, table in aggregation_report(gaps, "ville").items():
+        got, expected = comparable(table), comparable(direct[name])
+        assert got.dtypes == expected.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())), name
+
+
 def test_ordered_tables(df):
     report = aggregation_report(df, "ville", ordered=True)
     peaks = [(-r["nombre_evenements"], r["window"]["start"]) for r in report["pics_activite"].collect()]

@@ -4,7 +4,7 @@ import pytest
 
 from faultline.operators import risk
 from faultline.plans.inputs import event_readings
-from faultline.schemas import COLUMNS
+from faultline.columns import COLUMNS
 from helpers import collect, readings
 
 STATS = "tension_avg double, tension_max double, tension_min double, nb_secousses long, max_magnitude double"

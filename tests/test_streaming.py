@@ -10,7 +10,7 @@ from faultline.functions.timeparts import flatten_window
 from faultline.operators.risk import risk_alerts
 from faultline.plans.inputs import event_readings
 from faultline.plans.queries import comparable
-from faultline.schemas import STREAM_COLUMNS
+from faultline.columns import STREAM_COLUMNS
 from faultline.sources.readers import read_stream
 from faultline.streaming import alerts, messages
 from helpers import collect, readings

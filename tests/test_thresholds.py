@@ -44,6 +44,16 @@ def test_each_entity_has_its_own(spark):
     assert set(got) == set("abc")
 
 
+def test_few_bins_take_more_passes_to_the_same_value(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(0, e, True, rng.expovariate(1), 1.0) for e in "ab" for _ in range(300)]
+    df = readings(spark, rows)
+    expected = collect(magnitude_threshold(df, entity="ville"), "ville")
+    monkeypatch.setattr("faultline.operators.thresholds.ALL_BINS", 8)
+    monkeypatch.setattr("faultline.operators.thresholds.LEAST_BINS", 4)
+    assert collect(magnitude_threshold(df, entity="ville"), "ville") == expected
+
+
 def test_major_is_strictly_above(spark):
     df = readings(spark, [(0, "a", True, 2.0, 1.0)] * 10)
     assert major_events(df, magnitude_threshold(df)).count() == 0
