@@ -63,7 +63,8 @@ def attach(df: DataFrame, small: DataFrame, entity: str | None = None) -> DataFr
 
     The one-row form is a scalar subquery; a comparison with a single column reaches the scan as a
     literal. The keyed form is broadcast only after counting; beyond the limit it is an ordinary
-    join, where adaptive execution splits skewed partitions.
+    join, where adaptive execution splits skewed partitions. Rows of an entity that `small` lacks
+    stay, with nulls.
     """
     if entity is None and len(small.columns) == 1:
         return df.withColumn(small.columns[0], small.scalar())
@@ -72,4 +73,4 @@ def attach(df: DataFrame, small: DataFrame, entity: str | None = None) -> DataFr
         return df.withColumn("_row", row).select(*df.columns, "_row.*")
     if small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         small = F.broadcast(small)
-    return df.join(small, entity)
+    return df.join(small, entity, "left")

@@ -59,6 +59,12 @@ def test_major_is_strictly_above(spark):
     assert major_events(df, magnitude_threshold(df)).count() == 0
 
 
+def test_rows_without_a_threshold_stay_and_are_not_major(spark):
+    df = readings(spark, [(0, "a", True, 2.0, 1.0), (0, None, True, 9.0, 1.0), (0, "b", True, None, 1.0)])
+    marked = mark_major(df, magnitude_threshold(df, entity="ville"), "ville")
+    assert collect(marked.select("majeur"), "event_id") == [(False,), (None,), (None,)]
+
+
 def test_infinite_and_nan_values_end_the_search(spark):
     values = [float("nan"), float("inf"), float("-inf"), *range(1, 18)]
     df = readings(spark, [(0, "a", True, float(v), 1.0) for v in values])
