@@ -398,3 +398,14 @@ FROM r""",
 }
 
 ORACLES = {name: rounded(sql, ROUNDED.get(name, [])) for name, sql in RESULTS.items()}
+
+# The tables of the report hold what the single operators give.
+for single in [
+    "hour_profile",
+    "quarter_hour_stats",
+    "activity_peaks",
+    "stress_trend",
+    "entity_hour_profile",
+    "critical_periods",
+]:
+    ORACLES[f"report_{single}"] = ORACLES[single]

@@ -286,6 +286,24 @@ def published_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_table(table: str) -> Query:
+    """One table of the aggregation report, computed from its quarter hours."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = aggregation_report(event_readings(spark, sf_dir), EVENT_ENTITY)[table]
+        return comparable(flatten_window(df) if "window" in df.columns else df)
+
+    return build
+
+
+QUERIES["report_hour_profile"] = report_table("agg_horaire")
+QUERIES["report_quarter_hour_stats"] = report_table("agg_15min")
+QUERIES["report_activity_peaks"] = report_table("pics_activite")
+QUERIES["report_stress_trend"] = report_table("tendances_tension")
+QUERIES["report_entity_hour_profile"] = report_table("agg_ville_heure")
+QUERIES["report_critical_periods"] = report_table("periodes_critiques")
+
+
 @query
 def precursor_report_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The precursor report of every entity in one set of plans: rows per table."""
