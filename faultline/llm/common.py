@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -82,3 +84,32 @@ def portions(
             total += size
         if start < len(frame):
             yield frame.iloc[start:]
+
+
+# White space to Python that is no blank here; texts without it can be split by str.split.
+_OTHER_SPACE = re.compile(
+    r"[\x1c-\x1f\x85\xa0  -     　]"
+)
+_BLANKS = re.compile(BLANKS)
+
+
+def split_words(text: str) -> list[str]:
+    """The words of a text inside Python code; the same as `words`."""
+    if _OTHER_SPACE.search(text) is None:
+        return text.split()
+    return [w for w in _BLANKS.split(text) if w]
+
+
+def gather(offsets: np.ndarray, flat: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Concatenate the slices `flat[offsets[c]:offsets[c + 1]]` for all codes."""
+    starts = offsets[codes]
+    sizes = offsets[codes + 1] - starts
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return flat[:0]
+    shift = np.repeat(starts - (ends - sizes), sizes)
+    return flat[shift + np.arange(ends[-1])]
+
+
+def offsets_of(sizes: Iterable[int]) -> np.ndarray:
+    return np.concatenate(([0], np.cumsum(np.fromiter(sizes, np.int64))))

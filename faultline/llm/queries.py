@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from faultline.llm import licenses, quality, sharding
+from faultline.llm import bpe, exact_dedup, licenses, near_dup, packing, quality, sharding
 from faultline.llm.common import read_table
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PATTERN = public_tokenizers.PATTERN
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -19,6 +24,16 @@ def query(build: Query) -> Query:
     return build
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"))
@@ -32,3 +47,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
