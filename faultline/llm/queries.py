@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from faultline.llm import bpe, exact_dedup, licenses, near_dup, packing, quality, sharding
+from pyspark.sql import functions as F
+
+from faultline.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    licenses,
+    near_dup,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    urls,
+)
 from faultline.llm.common import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,6 +41,23 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by the document it was rendered from, whose number ends its path."""
+    pages = read_table(spark, sf_dir, "pages")
+    labels = read_table(spark, sf_dir, "labels")
+    _, path = urls.host_and_path(F.col("url"))
+    number = F.regexp_extract(path, r"^/[^/]*/([0-9]+)", 1).try_cast("long")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.select("url", number.alias("doc_id")).join(labels, "doc_id")
+    return urls.judge(pages, labelled.select("url", bad.alias("block")))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
@@ -39,6 +68,12 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels")
+    return toxicity.judge(read_table(spark, sf_dir, "documents"), labels)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
