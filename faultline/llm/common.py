@@ -113,3 +113,12 @@ def gather(offsets: np.ndarray, flat: np.ndarray, codes: np.ndarray) -> np.ndarr
 
 def offsets_of(sizes: Iterable[int]) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(np.fromiter(sizes, np.int64))))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, content: Column, digest: str) -> DataFrame:
+    """One row of `docs` for each pair of `doc_id` and content digest in `kept`."""
+    marked = docs.withColumn("_content", content)
+    wanted = kept.select(F.col("doc_id").alias("_id"), F.col(digest).alias("_wanted"))
+    same = marked["doc_id"].eqNullSafe(wanted["_id"]) & (marked["_content"] == wanted["_wanted"])
+    found = marked.join(wanted, same, "left_semi")
+    return found.dropDuplicates(["doc_id", "_content"]).select(*docs.columns)

@@ -17,7 +17,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm.common import BLANKS, staged
@@ -245,12 +245,17 @@ def _names(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
+def content_digest(text: Column) -> Column:
+    """SHA-256, in hex, of the text with each run of blanks as one space; null counts as empty."""
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), BLANKS, " ")
+    return F.sha2(spaced.cast("binary"), 256)
+
+
 def digest_rows(docs: DataFrame) -> DataFrame:
     """Content digests of all rows, with a row number that stays as it is: `doc_id, digest, row`."""
-    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), BLANKS, " ")
-    digest = F.unhex(F.sha2(text.cast("binary"), 256))
-    rows = docs.select("doc_id", digest.alias("digest"), F.monotonically_increasing_id().alias("row"))
-    return staged(rows, "digests")
+    digest = F.unhex(content_digest(F.col("text")))
+    row = F.monotonically_increasing_id()
+    return staged(docs.select("doc_id", digest.alias("digest"), row.alias("row")), "digests")
 
 
 def deduplicate(docs: DataFrame, expected: int | None = None) -> DataFrame:

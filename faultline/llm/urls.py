@@ -20,6 +20,8 @@ TARGET = "label:block"
 
 SUPPORT = 0.0005
 CONFIDENCE = 0.6
+# A rule rests on this many labelled rows at least.
+LEAST_ROWS = 20
 
 ListedRule = tuple[str, str, str]
 
@@ -81,8 +83,9 @@ def mine(
 ) -> DataFrame:
     """Rules from rows of `url, block` (boolean): `tokens, confidence, support`.
 
-    A rule has at least the given share of all labelled rows and of the rows it fits. A rule that
-    contains another of no less confidence is left out. Rows without a label are ignored.
+    A rule has at least the given share of all labelled rows (`LEAST_ROWS` of them at least), and of
+    the rows it fits. A rule that contains another of no less confidence is left out. Rows without
+    a label are ignored.
     """
     rows = labelled.filter(F.col("block").isNotNull()).select(
         F.concat(
@@ -94,18 +97,22 @@ def mine(
     )
     rows = staged(rows.filter(F.size("items") > 0), "labelled-urls")
     schema = "tokens array<string>, confidence double, support double"
-    if rows.isEmpty():
+    total = rows.count()
+    if total < LEAST_ROWS:
         return rows.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
+    least = max(support, LEAST_ROWS / total)
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(rows)
     rules = staged(
         model.associationRules.filter(F.element_at("consequent", 1) == TARGET).select(
             F.array_sort("antecedent").alias("tokens"), "confidence", "support"
         ),
         "url-rules",
     )
-    # A shorter rule shares its rarest token, by the order of names, with the longer one.
+    # A shorter rule that is part of a longer one stands under its first token, which both have.
     shorter = rules.select(
-        F.col("tokens").alias("fewer"), F.col("confidence").alias("as_sure"), F.get("tokens", F.lit(0)).alias("entry")
+        F.col("tokens").alias("fewer"),
+        F.col("confidence").alias("as_sure"),
+        F.get("tokens", F.lit(0)).alias("entry"),
     )
     longer = rules.withColumn("entry", F.explode("tokens"))
     redundant = (
@@ -120,10 +127,13 @@ def mine(
 
 def match(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """The surest mined rule that fits each row of `page, tokens`: `page, matched`."""
-    indexed = rules.select(F.explode("tokens").alias("token"), "tokens")
-    frequent = pages.select(F.explode("tokens").alias("token")).join(
-        indexed.select("token").distinct(), "token", "left_semi"
-    ).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    used = rules.select(F.explode("tokens").alias("token")).distinct()
+    frequent = (
+        pages.select(F.explode("tokens").alias("token"))
+        .join(used, "token", "left_semi")
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     index = (
         rules.select(F.col("tokens").alias("rule"), "confidence", F.explode("tokens").alias("token"))
         .join(frequent, "token")
