@@ -8,7 +8,6 @@ The language of a text is the one whose spans hold most of its letters.
 from __future__ import annotations
 
 import unicodedata
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import held_out, offsets_of, portions, split_words
+from faultline.llm.common import coded_words, gather, held_out, mix, offsets_of, portions
 
 # N-grams are hashed into this many buckets: the model has as many numbers per language.
 BUCKETS = 1 << 16
@@ -53,65 +52,83 @@ SCRIPTS = {
 }
 NAMES = [*SCRIPTS, "other"]
 
-_RANGES = sorted((a, b, i) for i, ranges in enumerate(SCRIPTS.values()) for a, b in ranges)
-_STARTS = [a for a, _, _ in _RANGES]
+_RANGES = np.array(sorted((a, b, i) for i, r in enumerate(SCRIPTS.values()) for a, b in r))
 
 
-def script_of(letter: str) -> int:
-    point = ord(letter)
-    i = int(np.searchsorted(_STARTS, point, side="right")) - 1
-    if i >= 0 and point <= _RANGES[i][1]:
-        return _RANGES[i][2]
-    return len(NAMES) - 1
+def scripts_of(points: np.ndarray) -> np.ndarray:
+    """The position in `NAMES` of the script of each code point."""
+    i = np.searchsorted(_RANGES[:, 0], points, side="right") - 1
+    inside = (i >= 0) & (points <= _RANGES[i, 1])
+    return np.where(inside, _RANGES[i, 2], len(NAMES) - 1)
 
 
 def _letters(word: str) -> str:
+    if not word.isascii():
+        word = unicodedata.normalize("NFC", word)
     if word.isalpha():
         return word.lower()
     return "".join(c for c in word if c.isalpha()).lower()
 
 
-def grams(letters: str) -> list[int]:
-    """Buckets of the n-grams of one to three letters, with word ends, and of the whole word."""
-    word = f"<{letters}>"
-    found = [word[i : i + n] for n in (2, 3, 4) for i in range(len(word) - n + 1)]
-    return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS for gram in (*found, word)]
-
-
 class Words:
-    """The distinct words of a portion of texts: their letters, scripts and n-gram buckets."""
+    """The words of a portion of texts: the distinct ones, and what the model needs of them.
+
+    `codes` numbers the words of all texts in order, `ends` cuts them into texts. A distinct word has
+    a number of letters, a script (-1 without letters), and n-gram buckets (`grams`, by `owners`).
+    """
 
     def __init__(self, texts: list[str]):
+        distinct, self.codes, self.ends = coded_words(texts)
+        if any(len(word) > WORD_CHARS for word in distinct):
+            distinct = self._part(distinct)
+        keys: dict[str, int] = {}
+        self.codes = np.fromiter(
+            (keys.setdefault(_letters(word), len(keys)) for word in distinct), np.int64, len(distinct)
+        )[self.codes]
+        self.sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        self._hash("".join(f"<{key}>" for key in keys))
+
+    def _part(self, distinct: list[str]) -> list[str]:
+        """Cut long words into parts, in the distinct words and in the texts."""
         numbers: dict[str, int] = {}
-        self.codes = []
-        for text in texts:
-            line: list[int] = []
-            for word in split_words(text):
-                if len(word) <= WORD_CHARS:
-                    line.append(numbers.setdefault(word, len(numbers)))
-                else:
-                    for i in range(0, len(word), WORD_CHARS):
-                        part = word[i : i + WORD_CHARS]
-                        line.append(numbers.setdefault(part, len(numbers)))
-            self.codes.append(np.asarray(line, np.int64))
-        letters = [_letters(unicodedata.normalize("NFC", word)) for word in numbers]
-        self.sizes = np.fromiter(map(len, letters), np.int64, len(letters))
-        # The script of a word is that of its first letter; words without letters have none.
-        seen: dict[str, int] = {}
-        scripts = []
-        for x in letters:
-            if not x:
-                scripts.append(-1)
-                continue
-            if x[0] not in seen:
-                seen[x[0]] = script_of(x[0])
-            scripts.append(seen[x[0]])
-        self.scripts = np.asarray(scripts, np.int64)
-        each = [grams(x) if x else [] for x in letters]
-        self.offsets = offsets_of(map(len, each))
-        self.grams = np.fromiter(
-            (g for found in each for g in found), np.int64, int(self.offsets[-1])
-        )
+        parts = [
+            [
+                numbers.setdefault(word[i : i + WORD_CHARS], len(numbers))
+                for i in range(0, len(word), WORD_CHARS)
+            ]
+            for word in distinct
+        ]
+        offsets = offsets_of(map(len, parts))
+        sizes = np.concatenate(([0], np.cumsum(np.diff(offsets)[self.codes])))
+        flat = np.fromiter((n for part in parts for n in part), np.int64, int(offsets[-1]))
+        self.codes, self.ends = gather(offsets, flat, self.codes), sizes[self.ends]
+        return list(numbers)
+
+    def _hash(self, marked: str) -> None:
+        """Buckets of the n-grams of two to four characters, ends included, and of the whole word."""
+        points = np.frombuffer(marked.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        lengths = np.where(self.sizes > 0, self.sizes + 2, 0)
+        points = points[np.repeat(self.sizes > 0, self.sizes + 2)]
+        starts = np.cumsum(lengths) - lengths
+        owner = np.repeat(np.arange(len(self.sizes)), lengths)
+        self.scripts = np.full(len(self.sizes), -1)
+        some = self.sizes > 0
+        self.scripts[some] = scripts_of(points[starts[some] + 1].astype(np.int64))
+
+        found, owners = [], []
+        rolling = mix(points)
+        for n in (2, 3, 4):
+            rolling = mix(rolling[:-1] * np.uint64(0x9E3779B97F4A7C15) + points[n - 1 :])
+            inside = owner[: len(rolling)] == owner[n - 1 :]
+            found.append(rolling[inside])
+            owners.append(owner[: len(rolling)][inside])
+        place = np.arange(len(points)) - np.repeat(starts, lengths)
+        spread = mix(points + place.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        if some.any():
+            found.append(mix(np.add.reduceat(spread, starts[some])))
+            owners.append(np.flatnonzero(some))
+        self.owners = np.concatenate(owners)
+        self.grams = (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -125,20 +142,23 @@ class Model:
     def word_scores(self, words: Words) -> np.ndarray:
         """One row per distinct word. Words without letters speak for no language, and words of a
         script that no language writes in may be of any."""
-        sums = np.zeros((len(words.sizes), len(self.languages)))
-        if len(words.grams):
-            owner = np.repeat(np.arange(len(words.sizes)), np.diff(words.offsets))
-            for j in range(len(self.languages)):
-                sums[:, j] = np.bincount(
-                    owner, self.weights[words.grams, j], minlength=len(words.sizes)
-                )
+        sums = np.stack(
+            [
+                np.bincount(words.owners, column[words.grams], len(words.sizes))
+                for column in self.weights.T
+            ],
+            axis=1,
+        )
         narrowed = self.writes[words.scripts]
         foreign = ~narrowed & narrowed.any(axis=1, keepdims=True) & (words.scripts >= 0)[:, None]
         return sums - FOREIGN * foreign
 
     def label(self, words: Words, switch: float = SWITCH) -> list[np.ndarray]:
         """The language of every word of every text, by position in `languages`."""
-        return viterbi(self.word_scores(words), words.codes, switch)
+        codes = [words.codes[a:b] for a, b in zip(words.ends, words.ends[1:], strict=False)]
+        if not self.languages:
+            return [np.zeros(len(code), np.int8) for code in codes]
+        return viterbi(self.word_scores(words), codes, switch)
 
 
 def viterbi(scores: np.ndarray, codes: list[np.ndarray], switch: float) -> list[np.ndarray]:
@@ -200,9 +220,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
         for frame in portions(frames, "text"):
             for lang, part in frame.groupby("lang"):
                 words = Words(part["text"].tolist())
-                times = np.bincount(np.concatenate(words.codes), minlength=len(words.sizes))
-                each = np.repeat(times, np.diff(words.offsets))
-                buckets = np.bincount(words.grams, each, BUCKETS)
+                times = np.bincount(words.codes, minlength=len(words.sizes))
+                buckets = np.bincount(words.grams, times[words.owners], BUCKETS)
                 scripts = np.bincount(words.scripts + 1, times, len(NAMES) + 1)[1:]
                 values = np.concatenate((buckets, scripts))
                 keys = np.flatnonzero(values)
@@ -247,8 +266,11 @@ def predict(docs: DataFrame, model: Model, prefix: str = "", spans: bool = False
         for frame in portions(frames, "text"):
             words = Words(frame["text"].fillna("").tolist())
             rows = []
-            for code, path in zip(words.codes, model.label(words), strict=True):
-                letters = np.bincount(path, words.sizes[code], len(model.languages))
+            sizes = words.sizes[words.codes]
+            for start, path in zip(words.ends, model.label(words), strict=False):
+                letters = np.bincount(
+                    path, sizes[start : start + len(path)], len(model.languages)
+                )
                 total = letters.sum() if len(letters) else 0
                 if not total:
                     rows.append((UNKNOWN, 0.0, []))

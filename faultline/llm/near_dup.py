@@ -8,7 +8,7 @@ probability of their similarity, with the concentration of independent draws.
 
 Bands of coordinates put similar documents into common buckets. Documents with the same set are one
 class, and classes of a bucket are compared on their full sets: first each with one hub, and then only
-classes that no chain of links connects yet.
+classes that no chain of links connects yet and that a bound does not rule out.
 """
 
 from __future__ import annotations
@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import portions, split_words, staged
+from faultline.llm.common import coded_words, mix, portions, staged
 from faultline.session import scratch_dir
 
 SHINGLE = 3
@@ -31,14 +31,10 @@ BANDS = 30
 ROWS = 8
 PERCENT = 85
 
-_NEVER = np.uint64(2**64 - 1)
-
+# Groups of one hub with at most this many members are compared pair by pair.
+SMALL_GROUP = 16
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spread the bits of 64-bit numbers; a bijection."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+_NEVER = np.uint64(2**64 - 1)
 
 
 def shingle_sets(texts: list[str], width: int = SHINGLE) -> list[np.ndarray]:
@@ -46,19 +42,15 @@ def shingle_sets(texts: list[str], width: int = SHINGLE) -> list[np.ndarray]:
 
     Only A-Z is lower-cased. A text of fewer words is one shingle, one without words has none.
     """
-    numbers: dict[str, int] = {}
-    codes = [
-        np.fromiter((numbers.setdefault(w, len(numbers)) for w in split_words(text)), np.int64)
-        for text in texts
-    ]
+    distinct, codes, ends = coded_words(texts)
     hashes = np.fromiter(
-        (xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass").lower()) for w in numbers),
+        (xxhash.xxh3_64_intdigest(word.encode().lower()) for word in distinct),
         np.uint64,
-        len(numbers),
-    )
+        len(distinct),
+    )[codes]
     sets = []
-    for code in codes:
-        words = hashes[code]
+    for start, end in zip(ends, ends[1:], strict=False):
+        words = hashes[start:end]
         if not len(words):
             sets.append(words)
             continue
@@ -209,56 +201,41 @@ def near_duplicates(
             F.first("bands").alias("bands"),
         )
     )
+    # The hub of a bucket is the class with the most company in all its buckets, which is likely to
+    # be the text that the others were edited from. Which bucket it was does not matter any more.
     keyed = classes.select("set", "n", F.explode("bands").alias("key"))
-    crowded = (
-        keyed.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("set", "n")).alias("hub"))
-        .filter("members > 1")
+    crowds = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).filter("crowd > 1")
+    crowded = staged(keyed.join(crowds, "key"), "crowded")
+    company = crowded.groupBy("set").agg(F.sum("crowd").alias("company"))
+    hubs = (
+        crowded.join(company, "set")
+        .groupBy("key")
+        .agg(F.max(F.struct("company", "set", "n")).alias("hub"))
     )
     members = staged(
-        keyed.join(crowded, "key").select("key", "set", "n", "hub.*").toDF("key", "set", "n", "hub", "hub_n"),
+        crowded.join(hubs, "key")
+        .filter(F.col("set") != F.col("hub.set"))
+        .select(F.col("hub.set").alias("hub"), F.col("hub.n").alias("hub_n"), "set", "n")
+        .distinct(),
         "members",
     )
-
-    def possible(a: str, b: str):
-        return (100 * F.least(a, b) >= percent * F.greatest(a, b))
-
-    with_hub = (
-        members.filter(F.col("set") != F.col("hub"))
-        .filter(possible("n", "hub_n"))
-        .select(F.col("hub").alias("a"), F.col("set").alias("b"))
-        .distinct()
-    )
-    involved = members.select("set").distinct()
+    involved = members.select("set").unionAll(members.select("hub")).distinct()
     texts = (
         docs.select("doc_id", "text")
-        .join(classes.select("set", "first").join(involved, "set"), F.col("doc_id").eqNullSafe(F.col("first")))
+        .join(
+            classes.select("set", "first").join(involved, "set"),
+            F.col("doc_id").eqNullSafe(F.col("first")),
+        )
         .select("set", "text")
     )
     sets = staged(_sets_of(texts, width).dropDuplicates(["set"]), "sets")
-    links = _verified(with_hub, sets, percent)
 
-    labels = components(links)
-    labelled = members.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
-        "key", "set", "n", F.coalesce("root", "set").alias("root")
-    )
-    # Buckets whose classes are all connected are done; in the others, all pairs across components.
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = staged(
-        labelled.join(mixed.filter("low != high").select("key"), "key", "left_semi"), "open"
-    )
-    one, two = open_.alias("one"), open_.alias("two")
-    across = (
-        one.join(two, F.col("one.key") == F.col("two.key"))
-        .filter(F.col("one.root") < F.col("two.root"))
-        .filter(possible("one.n", "two.n"))
-        .select(
-            F.least("one.set", "two.set").alias("a"), F.greatest("one.set", "two.set").alias("b")
-        )
-        .distinct()
-        .join(with_hub, ["a", "b"], "left_anti")
-    )
-    more = _verified(across, sets, percent)
+    with_hub = members.filter(_possible("n", "hub_n", percent))
+    links = _verified(with_hub.select(F.col("hub").alias("a"), F.col("set").alias("b")), sets, percent)
+    labels = components(links).withColumnRenamed("node", "set")
+    rooted = members.join(labels, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    open_pairs = _open_pairs(rooted.select("hub", "set", "n", "root"), sets, percent)
+    more = _verified(open_pairs, sets, percent)
     labels = components(links.unionAll(more))
 
     rooted = classes.select("set", "first").join(
@@ -279,6 +256,92 @@ def near_duplicates(
     )
 
 
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def _open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a hub, may be similar enough, and are not connected yet: `a, b`.
+
+    Groups (of one hub) whose members are all connected need nothing. In small groups all pairs
+    across components are taken. In large groups most members are edits of the same text, and pairs
+    are found by what each member adds to the shingles that most of the group have (its core):
+
+    * two sets share at most the smaller of their core parts, and what they both add. If they add
+      nothing in common, the smaller core part alone must reach the share that is asked for;
+    * otherwise they must add at least a certain number of shingles in common, so one of these is
+      among the rarest of either set (prefix filtering).
+
+    No pair that is similar enough is lost, whatever the core is.
+    """
+    groups = members.groupBy("hub").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        F.mode("root").alias("main"),
+    )
+    open_ = members.join(groups.filter("low != high").select("hub", "size", "main"), "hub")
+    open_ = staged(open_, "open")
+    small = open_.filter(F.col("size") <= SMALL_GROUP).select("hub", "set", "n", "root")
+
+    # --- what each member of a large group adds
+    large = open_.filter(F.col("size") > SMALL_GROUP).join(sets, "set")
+    rows = large.select("hub", "size", "main", "set", "n", "root", F.explode("shingles").alias("x"))
+    held = rows.groupBy("hub", "x").agg(F.count(F.lit(1)).alias("holders"))
+    member = Window.partitionBy("hub", "set")
+    measured = rows.join(held, ["hub", "x"]).withColumn(
+        "added", F.count_if(2 * F.col("holders") < F.col("size")).over(member)
+    )
+    core = F.col("n") - F.col("added")
+    least_other = F.ceil(F.col("n") * percent / 100)
+    needed = F.ceil((F.col("n") + least_other) * percent / (100 + percent)) - core
+    rarest = F.row_number().over(member.orderBy("holders", "x"))
+    ranked = staged(
+        measured.withColumns({"core": core, "rank": rarest}).filter(
+            (F.col("rank") == 1)
+            | (
+                (2 * F.col("holders") < F.col("size"))
+                & (F.col("holders") > 1)
+                & (F.col("rank") <= F.col("added") - F.greatest(needed, F.lit(1)) + 1)
+            )
+        ),
+        "prefixes",
+    )
+    added = ranked.filter((2 * F.col("holders") < F.col("size")) & (F.col("holders") > 1)).select(
+        "hub", "x", "set", "n", "root", "main"
+    )
+    cores = ranked.filter((F.col("rank") == 1) & (100 * F.col("core") >= percent * F.col("n")))
+    cores = cores.select("hub", "set", "n", "root", "main", "core")
+
+    def pairs(rows: DataFrame, keys: list[str], one_side: Column | None, test: Column) -> DataFrame:
+        """Pairs across components; where one component prevails, one of a pair is outside it."""
+        one, two = rows.alias("one"), rows.alias("two")
+        if one_side is not None:
+            one = one.filter(one_side)
+        condition = (
+            (F.col("one.root") != F.col("two.root"))
+            & _possible("one.n", "two.n", percent)
+            & test
+        )
+        for key in keys:
+            condition &= F.col(f"one.{key}") == F.col(f"two.{key}")
+        return one.join(two, condition).select(
+            F.least("one.set", "two.set").alias("a"), F.greatest("one.set", "two.set").alias("b")
+        )
+
+    outside = F.col("root") != F.col("main")
+    enough = (100 + percent) * F.least("one.core", "two.core") >= percent * (
+        F.col("one.n") + F.col("two.n")
+    )
+    return (
+        pairs(small, ["hub"], None, F.col("one.set") < F.col("two.set"))
+        .unionAll(pairs(added, ["hub", "x"], outside, F.lit(True)))
+        .unionAll(pairs(cores, ["hub"], outside, enough))
+        .distinct()
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough, stored."""
     shared = F.size(F.array_intersect("x", "y"))

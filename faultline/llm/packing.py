@@ -15,15 +15,17 @@ from __future__ import annotations
 import functools
 import os
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import gather, offsets_of, portions, ranked, split_words, staged
+from faultline.llm.common import coded_words, gather, offsets_of, portions, ranked, staged
 
 CAPACITY = 4096
 QUANTUM = 8
@@ -32,9 +34,16 @@ END_ID = 2
 # The linear program may stay above its bound by this share.
 GAP = 1e-3
 
-# Words whose ids a Python worker remembers.
-CACHE_WORDS = 300_000
+# Words whose ids a Python worker remembers: as many again from before the last renewal.
+CACHE_WORDS = 250_000
 CACHE_CHARS = 40
+# Words that the tokenizer is given at a time.
+LINE_WORDS = 500
+# Fixed value: how the vocabulary marks the end of a word.
+WORD_END = "</w>"
+
+# Marks that the tokenizer never joins to letters before them.
+ENDINGS = ".,;:!?"
 
 Pattern = dict[int, int]
 
@@ -42,42 +51,85 @@ Pattern = dict[int, int]
 # --- pieces -------------------------------------------------------------------------------------
 
 
-@functools.cache
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class WordIds:
+    """The ids of words by a tokenizer that drops white space and never merges across it."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        # The last token of each pre-token carries the mark of a word's end.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def of(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as unsigned 32-bit numbers."""
+        found = [self.recent.get(w) or self.older.get(w) for w in words]
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        # Words of letters alone are one pre-token each, so many of them are encoded as one text.
+        # Some letters fall apart when lower-cased; a line with one of them has too many ends.
+        letters = [i for i in missing if words[i].isalpha()]
+        others = [i for i in missing if not words[i].isalpha()]
+        lines = [letters[i : i + LINE_WORDS] for i in range(0, len(letters), LINE_WORDS)]
+        batch = self._encode(" ".join(words[i] for i in line) for line in lines)
+        for line, encoding in zip(lines, batch, strict=True):
+            ids = np.asarray(encoding.ids, "<u4")
+            ends = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
+            if len(ends) != len(line) + 1:
+                others += line
+                continue
+            held = ids.tobytes()
+            for i, start, end in zip(line, ends, ends[1:], strict=False):
+                found[i] = held[start:end]
+        for i, encoding in zip(others, self._encode(words[i] for i in others), strict=True):
+            found[i] = np.asarray(encoding.ids, "<u4").tobytes()
+        if len(self.recent) > CACHE_WORDS:
+            self.recent, self.older = {}, self.recent
+        self.recent.update(
+            (words[i], found[i]) for i in missing if len(words[i]) <= CACHE_CHARS
+        )
+        return found
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, {}
+    def _encode(self, texts: Iterable[str]) -> list:
+        return self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+
+
+@functools.cache
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
     """The ids of each text, encoding each distinct word once.
 
-    The tokenizer drops white space and never merges across it, so words can be encoded alone.
+    A word of letters and marks after them is two parts, which are pre-tokens of their own; other
+    words are one part. A-Z are lower-cased here already, since the tokenizer does so too.
     """
-    tokenizer, cache = _tokenizer(path)
-    numbers: dict[str, int] = {}
-    codes = [
-        np.fromiter(
-            (numbers.setdefault(w, len(numbers)) for w in split_words(text)), np.int64
-        )
-        for text in texts
-    ]
-    words = list(numbers)
-    new = [w for w in words if w not in cache]
-    fresh = {
-        w: np.asarray(e.ids, "<u4").tobytes()
-        for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)
-    }
-    ids = [fresh[w] if w in fresh else cache[w] for w in words]
-    if len(cache) + len(fresh) > CACHE_WORDS:
-        cache.clear()
-    cache.update((w, x) for w, x in fresh.items() if len(w) <= CACHE_CHARS)
+    distinct, codes, ends = coded_words(texts)
+    words = pa.array(distinct, pa.large_string())
+    letters = pc.utf8_rtrim(words, ENDINGS)
+    plain = pc.utf8_is_alpha(letters)
+    heads = pc.ascii_lower(pc.if_else(plain, letters, words))
+    sizes = pc.utf8_length(pc.if_else(plain, letters, words)).to_numpy()
+    tails = [word[size:] for word, size in zip(distinct, sizes, strict=True)]
+    parts = pa.concat_arrays([heads, pa.array(tails, pa.large_string())]).dictionary_encode()
+    ids = _word_ids(path).of(parts.dictionary.to_pylist())
     offsets = offsets_of(len(x) // 4 for x in ids)
     flat = np.frombuffer(b"".join(ids), "<u4")
-    return [gather(offsets, flat, code) for code in codes]
+    # Head and tail of each word, then the words of each text.
+    pairs = parts.indices.to_numpy().reshape(2, -1).T.ravel()
+    of_pairs = gather(offsets, flat, pairs)
+    lengths = np.diff(offsets)[pairs].reshape(-1, 2).sum(axis=1)
+    of_words = offsets_of(lengths)
+    return [
+        gather(of_words, of_pairs, codes[start:end])
+        for start, end in zip(ends, ends[1:], strict=False)
+    ]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
