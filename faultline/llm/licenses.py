@@ -84,7 +84,10 @@ def _masks(bands: int) -> list[int]:
 
 
 def minima(part: Column, masks: Column) -> Column:
-    return F.transform(masks, lambda m: F.array_min(F.transform(part, lambda x: x.bitwiseXOR(m))))
+    """The smallest of the (at most `STEP`) shingles of a block, in the order of each mask."""
+    return F.transform(
+        masks, lambda m: F.least(*(F.get(part, F.lit(k)).bitwiseXOR(m) for k in range(STEP)))
+    )
 
 
 def scan(
@@ -113,18 +116,25 @@ def scan(
     mask_array = F.array(*(F.lit(m) for m in masks))
     last = F.greatest(F.floor((F.size("_shingles") - 1) / STEP), F.lit(0)).cast("int")
     blocks = F.sequence(F.lit(0), last)
-    block_minima = F.transform(
-        blocks, lambda b: minima(F.slice(F.col("_shingles"), b * STEP + 1, STEP), mask_array)
+    parts = F.transform(blocks, lambda b: F.slice(F.col("_shingles"), b * STEP + 1, STEP))
+    block_minima = F.transform(parts, lambda part: minima(part, mask_array))
+    # A window is a block and the one after it, so its minima are the lesser of theirs. Only windows
+    # with a minimum of a block in the index can have one of their own there.
+    known_minimum = lambda x: x.isin(list(index))
+    near = F.filter(
+        F.transform("_blocks", lambda low, b: F.when(F.exists(low, known_minimum), b)),
+        lambda b: b.isNotNull(),
     )
-    # A window is a block and the one after it, so its minima are the lesser of theirs.
-    window_minima = F.transform(
-        "_blocks",
-        lambda low, b: F.coalesce(
-            F.zip_with(low, F.get(F.col("_blocks"), b + 1), lambda x, y: F.least(x, y)), low
-        ),
+    starts = F.array_distinct(
+        F.flatten(F.transform("_near", lambda b: F.array(F.greatest(b - 1, F.lit(0)), b)))
     )
+
+    def window(b: Column) -> Column:
+        low, following = F.get(F.col("_blocks"), b), F.get(F.col("_blocks"), b + 1)
+        return F.coalesce(F.zip_with(low, following, lambda x, y: F.least(x, y)), low)
+
     met = F.array_distinct(
-        F.flatten(F.transform("_windows", lambda w: F.filter(w, lambda x: x.isin(list(index)))))
+        F.flatten(F.transform(starts, lambda b: F.filter(window(b), known_minimum)))
     )
     lookup = F.create_map(
         *(
@@ -141,7 +151,7 @@ def scan(
     candidates = (
         with_shingles(docs.select("doc_id", "text"))
         .withColumn("_blocks", block_minima)
-        .withColumn("_windows", window_minima)
+        .withColumn("_near", near)
         .withColumn("_met", met)
         .select("doc_id", "_shingles", "_met")
     )
