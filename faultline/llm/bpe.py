@@ -1,9 +1,9 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-1. Texts are cut into pre-tokens. Each portion of texts keeps its distinct pre-tokens in a list, and
-   its texts as positions in that list: a frequent pre-token is one row per portion, however often
-   it occurs.
-2. The lists are shuffled by pre-token, and each distinct one is encoded once.
+1. Texts are cut into pre-tokens. Each portion of texts lists its distinct pre-tokens, and keeps its
+   texts as positions in that list: a frequent pre-token counts once per portion.
+2. The lists are divided by a hash of the pre-token and shuffled, so that equal pre-tokens meet in one
+   task, which encodes each distinct one once.
 3. The ids go back to their portions, where the texts are put together again by position.
 
 Decoding looks every id up in the table of token bytes (as many rows as the vocabulary).
@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import zstandard
@@ -26,14 +27,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import gather, offsets_of, portions, staged
+from faultline.llm.common import gather, offsets_of, staged
 
-# A portion's list of distinct pre-tokens grows slower than its texts, so portions are large.
-PORTION_CHARS = 16_000_000
+# Bytes of texts that share one list of distinct pre-tokens.
+PORTION_BYTES = 6_000_000
+
+# Pre-tokens are divided for the shuffle by a hash; a task remembers the distinct ones of a division.
+DIVISIONS = 128
+# Ranks that take one byte.
+FREQUENT = 200
 
 # A single space between two other characters always starts a pre-token, so texts are cut there
 # first. Texts with other runs of white space go through the pattern as a whole.
-_RUNS = re.compile(r"\s\s|^\s|\s$")
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_RUNS = f"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}$"
+
+# Marks that follow words often.
+ENDINGS = ".,;:!?"
 
 
 @functools.cache
@@ -52,34 +62,120 @@ def _token_bytes(path: str, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     return offsets_of(map(len, tokens)), np.frombuffer(b"".join(tokens), np.uint8)
 
 
-def cut(texts: list[str], pattern: str) -> tuple[list[str], list[np.ndarray]]:
+def cut(texts: pa.Array, pattern: str) -> tuple[pa.Array, list[np.ndarray]]:
     """The distinct pre-tokens of the texts, and each text as positions in that list."""
     find = regex.compile(pattern).findall
-    spaced: dict[str, int] = {}
-    unspaced: dict[str, int] = {}
-    numbers: dict[str, int] = {}
-    chunks: list[list[int]] = []
-
-    def number(chunk: str) -> int:
-        chunks.append([numbers.setdefault(token, len(numbers)) for token in find(chunk)])
-        return len(chunks) - 1
-
-    codes: list[list[int]] = []
-    for text in texts:
-        first, *rest = [text] if _RUNS.search(text) else text.split(" ")
-        code = unspaced.get(first)
-        if code is None:
-            code = unspaced[first] = number(first)
-        line = [code]
-        for part in rest:
-            code = spaced.get(part)
-            if code is None:
-                code = spaced[part] = number(" " + part)
-            line.append(code)
-        codes.append(line)
-    offsets = offsets_of(map(len, chunks))
-    flat = np.fromiter((n for chunk in chunks for n in chunk), np.int32, int(offsets[-1]))
-    return list(numbers), [gather(offsets, flat, np.asarray(line, np.int64)) for line in codes]
+    whole = pc.match_substring_regex(texts, _RUNS)
+    parted = pc.split_pattern(pc.if_else(whole, pa.scalar(None, texts.type), texts), " ")
+    coded = parted.flatten().dictionary_encode()
+    parts = coded.dictionary
+    # Letters with marks after them are two pre-tokens, in any pattern that keeps letters together.
+    letters = pc.utf8_rtrim(parts, ENDINGS)
+    plain = pc.utf8_is_alpha(letters).to_pylist()
+    sizes = pc.utf8_length(letters).to_pylist()
+    counts, found = [], []
+    for part, size, is_plain in zip(parts.to_pylist(), sizes, plain, strict=True):
+        if not is_plain:
+            tokens = find(" " + part)
+            counts.append(len(tokens))
+            found += tokens
+        elif size == len(part):
+            counts.append(1)
+            found.append(" " + part)
+        else:
+            counts.append(2)
+            found += (" " + part[:size], part[size:])
+    # The first part of a text has no space before it, so it is a chunk of its own.
+    known = len(counts)
+    for chunk in pc.if_else(whole, texts, pc.list_element(parted, 0)).to_pylist():
+        tokens = find(chunk)
+        counts.append(len(tokens))
+        found += tokens
+    tokens = pa.array(found, pa.large_string()).dictionary_encode()
+    offsets, flat = offsets_of(counts), tokens.indices.to_numpy()
+    codes = coded.indices.to_numpy()
+    ends = parted.offsets.to_numpy() - parted.offsets[0].as_py()
+    lines = []
+    for i in range(len(texts)):
+        rest = codes[ends[i] + 1 : ends[i + 1]]
+        lines.append(gather(offsets, flat, np.concatenate(([known + i], rest))))
+    return tokens.dictionary, lines
+
+
+def _slices(
+    batches: Iterable[pa.RecordBatch], most: int
+) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Identifiers and texts in parts of at most `most` bytes of text (or one text)."""
+    for batch in batches:
+        texts = pc.fill_null(batch["text"].cast(pa.large_string()), "")
+        start, total = 0, 0
+        for i, size in enumerate([*pc.binary_length(texts).to_pylist(), most + 1]):
+            if i > start and total + size > most:
+                # Rows are taken rather than sliced: string kernels misread the offsets of slices.
+                rows = pa.array(np.arange(start, i))
+                yield batch["doc_id"].take(rows), texts.take(rows)
+                start, total = i, 0
+            total += size
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    held = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return ends - ends[0], held[ends[0] : ends[-1]]
+
+
+def _pack(sizes: np.ndarray, data: bytes) -> bytes:
+    """Items one after the other, compressed: their number, their sizes, and their bytes."""
+    head = np.asarray([len(sizes)], "<u4").tobytes() + sizes.astype("<u4").tobytes()
+    return zstandard.ZstdCompressor(level=9).compress(head + data)
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    end = 4 + 4 * int(np.frombuffer(raw, "<u4", 1)[0])
+    return np.frombuffer(raw[4:end], "<u4").astype(np.int64), raw[end:]
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """32-bit numbers byte by byte: first all lowest bytes, and so on. Compresses better."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+
+
+def _pack_ranks(lines: list[np.ndarray], ranks: np.ndarray) -> bytes:
+    """Texts as ranks of their pre-tokens by frequency: one byte for the most frequent, and two more,
+    kept apart, for the others. Where three bytes can't hold the ranks, as planes."""
+    numbers = ranks[np.concatenate([np.zeros(0, np.int64), *lines])]
+    if len(ranks) > FREQUENT + (256 - FREQUENT) * 65536:
+        data = _planes(numbers)
+    else:
+        rare = numbers >= FREQUENT
+        over = numbers[rare] - FREQUENT
+        lead = numbers.copy()
+        lead[rare] = FREQUENT + (over >> 16)
+        parts = (lead, over & 255, over >> 8 & 255)
+        data = b"".join(part.astype(np.uint8).tobytes() for part in parts)
+    return _pack(np.fromiter(map(len, lines), np.int64, len(lines)), data)
+
+
+def _unpack_ranks(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    sizes, data = _unpack(blob)
+    total = int(sizes.sum())
+    if total and len(data) == 4 * total:
+        return sizes, _from_planes(data).astype(np.int64)
+    ranks = np.frombuffer(data[:total], np.uint8).astype(np.int64)
+    low, high = np.frombuffer(data[total:], np.uint8).astype(np.int64).reshape(2, -1)
+    rare = ranks >= FREQUENT
+    ranks[rare] = FREQUENT + (ranks[rare] - FREQUENT << 16) + (high << 8) + low
+    return sizes, ranks
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -91,93 +187,133 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     key = docs.schema["doc_id"].dataType
     schema = T.StructType(
         [
-            T.StructField("kind", T.StringType()),
             T.StructField("portion", T.LongType()),
-            T.StructField("doc_id", key),
-            T.StructField("number", T.IntegerType()),
-            T.StructField("word", T.StringType()),
-            T.StructField("words", T.BinaryType()),
+            T.StructField("division", T.IntegerType()),
+            T.StructField("doc_ids", T.ArrayType(key)),
+            T.StructField("data", T.BinaryType()),
+            T.StructField("divisions", T.BinaryType()),
         ]
     )
 
-    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compress = zstandard.ZstdCompressor(level=1).compress
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row per portion with its texts, and the division of each word; and one row per portion
+        and division with its words."""
         portion = TaskContext.get().partitionId() << 32
-        for frame in portions(frames, "text", PORTION_CHARS):
-            words, codes = cut(frame["text"].fillna("").tolist(), pattern)
-            yield pd.DataFrame(
+        for ids, texts in _slices(batches, PORTION_BYTES):
+            words, lines = cut(texts, pattern)
+            times = sum((np.bincount(x, minlength=len(words)) for x in lines), np.zeros(len(words)))
+            by_rank = np.argsort(-times, kind="stable")
+            ranks = np.empty(len(words), np.int64)
+            ranks[by_rank] = np.arange(len(words))
+            words = words.take(pa.array(by_rank))
+            division = np.fromiter(
+                (zlib.crc32(w.encode()) % DIVISIONS for w in words.to_pylist()), np.uint8, len(words)
+            )
+            order = np.argsort(division, kind="stable")
+            offsets, data = _bytes(words.cast(pa.large_binary()).take(pa.array(order)))
+            held = data.tobytes()
+            bounds = np.searchsorted(division[order], np.arange(DIVISIONS + 1))
+            lists = [
+                _pack(np.diff(offsets[a : b + 1]), held[offsets[a] : offsets[b]])
+                for a, b in zip(bounds, bounds[1:], strict=False)
+                if b > a
+            ]
+            present = np.flatnonzero(np.diff(bounds)).tolist()
+            doc_ids = pa.ListArray.from_arrays([0, *[len(ids)] * (len(lists) + 1)], ids)
+            yield pa.RecordBatch.from_pydict(
                 {
-                    "kind": "text",
-                    "portion": portion,
-                    "doc_id": frame["doc_id"].to_numpy(),
-                    "number": None,
-                    "word": None,
-                    "words": [compress(code.astype("<i4").tobytes()) for code in codes],
+                    "portion": pa.repeat(portion, len(lists) + 1),
+                    "division": pa.array([None, *present], pa.int32()),
+                    "doc_ids": doc_ids,
+                    "data": pa.array([_pack_ranks(lines, ranks), *lists], pa.binary()),
+                    "divisions": pa.array(
+                        [_pack(np.zeros(0), division.tobytes()), *[None] * len(lists)], pa.binary()
+                    ),
                 }
             )
-            if words:
-                yield pd.DataFrame(
-                    {
-                        "kind": "word",
-                        "portion": portion,
-                        "doc_id": None,
-                        "number": np.arange(len(words), dtype=np.int32),
-                        "word": words,
-                        "words": None,
-                    }
-                )
             portion += 1
 
-    def encode_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Equal words follow each other, so only the last one is remembered."""
+    def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The lists of a division follow each other, so only its words need to be remembered."""
         ordinary = _encoding(path, pattern).encode_ordinary
-        last, ids = None, b""
-        for frame in frames:
+        known: dict[bytes, bytes] = {}
+        last = None
+        for batch in batches:
             out = []
-            for word in frame["word"]:
-                if word != last:
-                    last, ids = word, np.asarray(ordinary(word), "<u4").tobytes()
-                out.append(ids)
-            yield pd.DataFrame({"portion": frame["portion"], "number": frame["number"], "ids": out})
-
-    def assemble(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        ids = words["ids"].to_numpy()[np.argsort(words["number"].to_numpy())]
-        offsets = offsets_of(len(x) // 4 for x in ids)
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        expand = zstandard.ZstdDecompressor().decompress
+            for division, blob in zip(
+                batch["division"].to_pylist(), batch["data"].to_pylist(), strict=True
+            ):
+                if division != last:
+                    last, known = division, {}
+                sizes, data = _unpack(blob)
+                ends = offsets_of(sizes).tolist()
+                found = []
+                for start, end in zip(ends, ends[1:], strict=False):
+                    word = data[start:end]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = np.asarray(ordinary(word.decode()), "<u4").tobytes()
+                        known[word] = ids
+                    found.append(ids)
+                flat = np.frombuffer(b"".join(found), "<u4")
+                numbers = np.fromiter(map(len, found), np.int64, len(found)) // 4
+                out.append(_pack(numbers, _planes(flat)))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "portion": batch["portion"],
+                    "division": batch["division"],
+                    "ids": pa.array(out, pa.binary()),
+                }
+            )
+
+    def assemble(texts: pa.Table, words: pa.Table) -> pa.Table:
+        division = _unpack(texts["divisions"][0].as_py())[1]
+        order = np.argsort(np.frombuffer(division, np.uint8), kind="stable")
+        # The place of each rank among the returned lists, which come by division.
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        lists = [_unpack(x) for x in words.sort_by("division")["ids"].to_pylist()]
+        sizes = np.concatenate([np.zeros(0, np.int64), *(sizes for sizes, _ in lists)])
+        flat = np.concatenate([np.zeros(0, "<u4"), *(_from_planes(data) for _, data in lists)])
+        offsets = offsets_of(sizes)
+        lengths, ranks = _unpack_ranks(texts["data"][0].as_py())
+        ends = offsets_of(lengths)
         out = [
-            gather(offsets, flat, np.frombuffer(expand(code), "<i4")).tobytes()
-            for code in texts["words"]
+            gather(offsets, flat, place[ranks[a:b]]).tobytes()
+            for a, b in zip(ends, ends[1:], strict=False)
         ]
-        return pd.DataFrame({"doc_id": texts["doc_id"], "ids": out})
+        doc_ids = texts["doc_ids"].combine_chunks().flatten()
+        return pa.table({"doc_id": doc_ids, "ids": pa.array(out, pa.binary())})
 
-    parts = staged(docs.select("doc_id", "text").mapInPandas(split, schema), "bpe")
+    parts = staged(docs.select("doc_id", "text").mapInArrow(split, schema), "bpe")
     words = (
-        parts.filter("kind = 'word'")
-        .select("portion", "number", "word")
-        .repartition("word")
-        .sortWithinPartitions("word")
-        .mapInPandas(encode_words, "portion long, number int, ids binary")
+        parts.filter("division IS NOT NULL")
+        .select("division", "portion", "data")
+        .repartition("division")
+        .sortWithinPartitions("division")
+        .mapInArrow(encode_words, "portion long, division int, ids binary")
     )
-    texts = parts.filter("kind = 'text'").select("portion", "doc_id", "words")
+    texts = parts.filter("division IS NULL").select("portion", "doc_ids", "data", "divisions")
     result = T.StructType([T.StructField("doc_id", key), T.StructField("ids", T.BinaryType())])
-    return texts.groupBy("portion").cogroup(words.groupBy("portion")).applyInPandas(assemble, result)
+    return texts.groupBy("portion").cogroup(words.groupBy("portion")).applyInArrow(assemble, result)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """Add `decoded`, the bytes of the column `ids`; null ids give null bytes."""
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())])
 
-    def look_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         offsets, flat = _token_bytes(path, pattern)
-        for frame in frames:
+        for batch in batches:
             decoded = [
-                None if ids is None else gather(offsets, flat, np.frombuffer(ids, "<u4").astype("i8")).tobytes()
-                for ids in frame["ids"]
+                None
+                if ids is None
+                else gather(offsets, flat, np.frombuffer(ids, "<u4").astype(np.int64)).tobytes()
+                for ids in batch["ids"].to_pylist()
             ]
-            yield frame.assign(decoded=decoded)
+            yield batch.append_column("decoded", pa.array(decoded, pa.binary()))
 
-    return tokens.mapInPandas(look_up, schema)
+    return tokens.mapInArrow(look_up, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -21,7 +21,7 @@ NOT_BLANKS = r"[^\x20\x09-\x0D]+"
 RANK_BUCKETS = 4096
 
 # Python code takes texts in portions of at most this many characters (or one text).
-PORTION_CHARS = 8_000_000
+PORTION_CHARS = 4_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -35,7 +35,7 @@ END_ID = 2
 GAP = 1e-3
 
 # Words whose ids a Python worker remembers: as many again from before the last renewal.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 CACHE_CHARS = 40
 # Words that the tokenizer is given at a time.
 LINE_WORDS = 500
