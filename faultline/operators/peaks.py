@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,12 +106,18 @@ def entity_ranking(df: DataFrame, entity: str = "ville", cols: Columns = COLUMNS
 
 
 def top_windows(
-    stats: DataFrame, k: int, by: str = "nombre_evenements", entity: str | None = None
+    stats: DataFrame,
+    k: int,
+    by: str = "nombre_evenements",
+    entity: str | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """The `k` windows with the largest `by`, overall or per entity; earlier windows win ties."""
+    """The `k` windows with the largest `by`, overall or per entity; earlier windows win ties.
+
+    Overall, name in `ties` the columns that tell windows of the same time apart, such as entities.
+    """
     if entity is None:
-        others = [F.col(name) for name in stats.columns if name == "ville"]
-        return stats.orderBy(F.desc(by), "window.start", *others).limit(k)
+        return stats.orderBy(F.desc(by), "window.start", *ties).limit(k)
     order = Window.partitionBy(entity).orderBy(F.desc(by), "window.start")
     ranked = stats.withColumn("rang", F.row_number().over(order))
     return ranked.filter(F.col("rang") <= k)

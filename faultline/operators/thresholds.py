@@ -2,20 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.columns import COLUMNS, Columns
 from faultline.session import attach, stage
 
-# Bins per pass and entity: each pass narrows the search this many times. Many entities share the
-# bins of one pass, so that a pass shuffles a bounded number of rows per task.
-MOST_BINS = 65_536
-LEAST_BINS = 256
-ALL_BINS = 16_777_216
+# Bins per pass and entity: each pass narrows the search this many times.
+BINS = 65_536
+
+# A power of two holds 2**52 doubles, so this many passes of `BINS` reach a single one.
+NARROWING = 4
+
 
-# Values are ranked inside this range, so that the width of the range is itself a finite number.
-FAR = 8e307
+def _octave(value: Column) -> Column:
+    """A number per sign and power of two that never falls as the value rises. Infinities, zero and
+    NaN, which ranks above all others, have numbers of their own."""
+    power = F.floor(F.log2(F.abs(value))) + 2000
+    return (
+        F.when(F.isnan(value), 9000)
+        .when(F.abs(value) == float("inf"), F.signum(value).cast("long") * 8000)
+        .when(value == 0, 0)
+        .otherwise(F.when(value > 0, power).otherwise(-power))
+    )
 
 
 def magnitude_threshold(
@@ -23,39 +34,55 @@ def magnitude_threshold(
 ) -> DataFrame:
     """The smallest value with at least a share `q` of the (entity's) non-null values at or below.
 
-    One row with `seuil_magnitude`, null for empty input; with `entity`, one row per entity.
+    One row with `seuil_magnitude`, null for empty input; with `entity`, one row per entity. NaN
+    ranks above infinity, and nothing lies above it.
 
     The value is exact. Sketches of all tasks would have to meet in one task, and a sort would
-    shuffle every value; instead each pass counts values in equal bins (combined before the
-    shuffle), keeps the bin that holds the wanted rank, and the next pass looks only inside it,
-    until the bin holds a single value. Between passes only one row per entity is kept.
+    shuffle every value; instead the first pass counts values by sign and power of two, and later
+    ones in equal bins inside one of them (combined before the shuffle). Each keeps the bin that
+    holds the wanted rank; at most `NARROWING` passes follow the first, whatever the values are.
     """
     keys = [entity] if entity else []
-    value = F.greatest(F.least(F.col(cols.value), F.lit(FAR)), F.lit(-FAR))
-    values = df.filter(F.col(cols.value).isNotNull()).select(*keys, value.alias("v"))
+    values = df.filter(F.col(cols.value).isNotNull()).select(*keys, F.col(cols.value).alias("v"))
     if entity:
         values = values.filter(F.col(entity).isNotNull())
 
-    wanted = F.greatest(F.ceil(F.lit(q) * F.count("v")), F.lit(1)).alias("rang")
-    found = stage(values.groupBy(*keys).agg(wanted, F.min("v").alias("lo"), F.max("v").alias("hi")))
-    bins_each = MOST_BINS
-    if entity:
-        bins_each = min(MOST_BINS, max(LEAST_BINS, ALL_BINS // max(found.count(), 1)))
-    while not found.filter("lo < hi").isEmpty():
-        bins = (
+    def keep_bin(binned: DataFrame, rank: Column) -> DataFrame:
+        """The bin that holds the rank, and the rank inside it; at most `BINS` + 1 rows per entity
+        reach the window."""
+        bins = binned.groupBy(*keys, *(["rang"] if "rang" in binned.columns else []), "bin").agg(
+            F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        )
+        whole = Window.partitionBy(*keys)
+        counted = bins.withColumns(
+            {
+                "upto": F.sum("n").over(whole.orderBy("bin")),
+                "total": F.sum("n").over(whole),
+            }
+        ).withColumn("rang", rank)
+        return counted.filter("upto >= rang AND upto - n < rang").select(
+            *keys, (F.col("rang") - (F.col("upto") - F.col("n"))).alias("rang"), "lo", "hi"
+        )
+
+    # In decimals: a product of doubles may land just above a whole rank.
+    wanted = F.greatest(F.ceil(F.lit(Decimal(str(q))) * F.col("total")), F.lit(1))
+    found = stage(keep_bin(values.withColumn("bin", _octave(F.col("v"))), wanted))
+    for _ in range(NARROWING):
+        if found.filter("lo < hi").isEmpty():
+            break
+        binned = (
             attach(values, found, entity)
             .filter("v BETWEEN lo AND hi")
-            .groupBy(*keys, "rang", F.width_bucket("v", "lo", "hi", F.lit(bins_each)).alias("bin"))
-            .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .withColumn("bin", F.when(F.col("lo") == F.col("hi"), 0).otherwise(
+                F.width_bucket("v", "lo", "hi", F.lit(BINS))
+            ))
         )
-        # At most `bins_each` + 1 rows per entity reach this window.
-        upto = F.sum("n").over(Window.partitionBy(*keys, "rang").orderBy("lo"))
-        found = stage(
-            bins.withColumn("upto", upto)
-            .filter("upto >= rang AND upto - n < rang")
-            .select(*keys, (F.col("rang") - (F.col("upto") - F.col("n"))).alias("rang"), "lo", "hi")
-        )
-    return found.select(*keys, F.col("lo").alias("seuil_magnitude"))
+        found = stage(keep_bin(binned, F.col("rang")))
+    threshold = found.select(*keys, F.col("lo").alias("seuil_magnitude"))
+    if entity:
+        return threshold
+    # Empty input has one row too.
+    return threshold.agg(F.max("seuil_magnitude").alias("seuil_magnitude"))
 
 
 def mark_major(

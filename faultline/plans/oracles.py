@@ -372,7 +372,7 @@ UNION ALL
 SELECT 'heures_majeures', count(*) FROM (SELECT DISTINCT ville, hour(date) FROM m)""",
     "sliding_stats": f"""{SLIDING}
 SELECT window_start, window_end, tension_avg,
-       tension_max, tension_min AS tension_min, nb_secousses,
+       tension_max, tension_min, nb_secousses,
        max_magnitude
 FROM st""",
     "risk_levels": f"""{SLIDING}

@@ -30,12 +30,13 @@ def comparable(df: DataFrame) -> DataFrame:
     """Doubles to six decimals, since sums differ in their last bits, and times without a zone.
 
     Rounding goes through a decimal, so that a half-way value does not depend on its last bit.
+    Values that no decimal holds (NaN, infinities, very large ones) stay as they are.
     """
 
     def cell(name: str, kind: str) -> Column:
         if kind == "double":
             exact = F.col(name).try_cast("decimal(38,12)")
-            return F.round(exact, 6).cast("double").alias(name)
+            return F.coalesce(F.round(exact, 6).cast("double"), F.col(name)).alias(name)
         return F.col(name).cast("timestamp_ntz").alias(name) if kind == "timestamp" else F.col(name)
 
     return df.select(*(cell(name, kind) for name, kind in df.dtypes))

@@ -49,8 +49,8 @@ def test_few_bins_take_more_passes_to_the_same_value(spark, monkeypatch):
     rows = [(0, e, True, rng.expovariate(1), 1.0) for e in "ab" for _ in range(300)]
     df = readings(spark, rows)
     expected = collect(magnitude_threshold(df, entity="ville"), "ville")
-    monkeypatch.setattr("faultline.operators.thresholds.ALL_BINS", 8)
-    monkeypatch.setattr("faultline.operators.thresholds.LEAST_BINS", 4)
+    monkeypatch.setattr("faultline.operators.thresholds.BINS", 8)
+    monkeypatch.setattr("faultline.operators.thresholds.NARROWING", 30)
     assert collect(magnitude_threshold(df, entity="ville"), "ville") == expected
 
 
@@ -71,6 +71,33 @@ def test_infinite_and_nan_values_end_the_search(spark):
     assert collect(magnitude_threshold(df, 0.5)) == [(9.0,)]
 
 
+@pytest.mark.parametrize("odd", [math.inf, math.nan])
+def test_nothing_is_above_infinity_or_nan(spark, odd):
+    df = readings(spark, [(0, "a", True, 1.0, 1.0)] * 15 + [(0, "a", True, odd, 1.0)] * 5)
+    threshold = magnitude_threshold(df, 0.9)
+    assert str(collect(threshold)[0][0]) == str(odd)
+    assert major_events(df, threshold).count() == 0
+
+
+def test_rank_is_exact(spark):
+    df = readings(spark, [(0, "a", True, float(v), 1.0) for v in range(1, 101)])
+    assert collect(magnitude_threshold(df, 0.55)) == [(55.0,)]
+
+
+def test_at_most_five_passes(spark, monkeypatch):
+    from faultline.operators import thresholds
+
+    passes = []
+    stage = thresholds.stage
+    monkeypatch.setattr(thresholds, "stage", lambda df: passes.append(1) or stage(df))
+    values = [10.0 ** (-300 + i) for i in range(600)] + [1.0 + i * math.ulp(1.0) for i in range(600)]
+    df = readings(spark, [(0, "a", True, v, 1.0) for v in values])
+    for q in (0.3, 0.5, 0.9):
+        passes.clear()
+        assert collect(magnitude_threshold(df, q)) == [(brute(values, q),)]
+        assert len(passes) <= 5
+
+
 def test_beyond_the_broadcast_limit_the_join_is_the_same(spark, monkeypatch):
     rows = [(i, e, True, float(i), 1.0) for i in range(100) for e in "abc"]
     df = readings(spark, rows)
