@@ -29,13 +29,18 @@ from pyspark.sql import types as T
 
 from faultline.llm.common import gather, offsets_of, staged
 
-# Bytes of texts that share one list of distinct pre-tokens.
-PORTION_BYTES = 6_000_000
+# Bytes of texts that share one list of distinct pre-tokens, and of those that are cut at a time: the
+# lists get shorter with larger portions, while the memory that cutting takes depends on the cuts.
+PORTION_BYTES = 16_000_000
+CUT_BYTES = 2_000_000
 
 # Pre-tokens are divided for the shuffle by a hash; a task remembers the distinct ones of a division.
 DIVISIONS = 128
-# Ranks that take one byte.
+# So many distinct pre-tokens of a division are remembered at a time; more are looked up afresh.
+MOST_KNOWN = 500_000
+# Ranks that take one byte, and the byte that stands for the next pre-token that occurs only once.
 FREQUENT = 200
+ONCE = 255
 
 # A single space between two other characters always starts a pre-token, so texts are cut there
 # first. Texts with other runs of white space go through the pattern as a whole.
@@ -118,6 +123,34 @@ def _slices(
             total += size
 
 
+def _portions(
+    batches: Iterable[pa.RecordBatch], pattern: str
+) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]]:
+    """Portions of texts: their identifiers, distinct pre-tokens, number of pre-tokens of each text,
+    and the pre-tokens of all texts as positions in the distinct ones."""
+    held: list[tuple[pa.Array, pa.DictionaryArray, list[int]]] = []
+    total = 0
+
+    def joined() -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+        ids = pa.concat_arrays([x for x, _, _ in held])
+        coded = pa.chunked_array([x for _, x, _ in held]).unify_dictionaries()
+        numbers = np.concatenate([x.indices.to_numpy() for x in coded.chunks])
+        sizes = np.asarray([n for _, _, counts in held for n in counts], np.int64)
+        return ids, coded.chunk(0).dictionary, sizes, numbers
+
+    for ids, texts in _slices(batches, CUT_BYTES):
+        words, lines = cut(texts, pattern)
+        numbers = pa.array(np.concatenate(lines).astype(np.int32))
+        size = pc.sum(pc.binary_length(texts)).as_py()
+        if held and total + size > PORTION_BYTES:
+            yield joined()
+            held, total = [], 0
+        held.append((ids, pa.DictionaryArray.from_arrays(numbers, words), [len(x) for x in lines]))
+        total += size
+    if held:
+        yield joined()
+
+
 def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a binary column without nulls."""
     column = column.cast(pa.large_binary())
@@ -150,39 +183,45 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
 
 
-def _pack_ranks(lines: list[np.ndarray], ranks: np.ndarray) -> bytes:
+def _pack_ranks(sizes: np.ndarray, numbers: np.ndarray, repeated: int) -> bytes:
     """Texts as ranks of their pre-tokens by frequency: one byte for the most frequent, and two more,
-    kept apart, for the others. Where three bytes can't hold the ranks, as planes."""
-    numbers = ranks[np.concatenate([np.zeros(0, np.int64), *lines])]
-    if len(ranks) > FREQUENT + (256 - FREQUENT) * 65536:
+    kept apart, for the others. The ranks from `repeated` on occur once each, in this order, so one
+    byte says it all. Where three bytes can't hold the ranks, as planes."""
+    if repeated > FREQUENT + (ONCE - FREQUENT) * 65536:
         data = _planes(numbers)
     else:
-        rare = numbers >= FREQUENT
+        once = numbers >= repeated
+        rare = (numbers >= FREQUENT) & ~once
         over = numbers[rare] - FREQUENT
-        lead = numbers.copy()
+        lead = np.minimum(numbers, ONCE).astype(np.uint8)
         lead[rare] = FREQUENT + (over >> 16)
-        parts = (lead, over & 255, over >> 8 & 255)
-        data = b"".join(part.astype(np.uint8).tobytes() for part in parts)
-    return _pack(np.fromiter(map(len, lines), np.int64, len(lines)), data)
+        lead[once] = ONCE
+        rest = np.concatenate((over & 255, over >> 8 & 255)).astype(np.uint8)
+        data = lead.tobytes() + rest.tobytes()
+    return _pack(np.concatenate(([repeated], sizes)), data)
 
 
 def _unpack_ranks(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     sizes, data = _unpack(blob)
+    repeated, sizes = sizes[0], sizes[1:]
     total = int(sizes.sum())
     if total and len(data) == 4 * total:
         return sizes, _from_planes(data).astype(np.int64)
     ranks = np.frombuffer(data[:total], np.uint8).astype(np.int64)
     low, high = np.frombuffer(data[total:], np.uint8).astype(np.int64).reshape(2, -1)
-    rare = ranks >= FREQUENT
+    once = ranks == ONCE
+    rare = (ranks >= FREQUENT) & ~once
     ranks[rare] = FREQUENT + (ranks[rare] - FREQUENT << 16) + (high << 8) + low
+    ranks[once] = repeated + np.arange(np.count_nonzero(once))
     return sizes, ranks
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> DataFrame:
     """The token ids of every text: `doc_id, ids`, with ids as little-endian unsigned 32-bit numbers.
 
     One row per input row, repeated rows and null `doc_id` included. Null and empty texts give empty
-    ids. `path` is a file of ranks that all executors can open. Other columns are ignored.
+    ids. `path` is a file of ranks that all executors can open. Other columns are ignored. With
+    `decoded`, the ids are decoded as `decode` does, in the task that put them together.
     """
     key = docs.schema["doc_id"].dataType
     schema = T.StructType(
@@ -199,12 +238,14 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         """One row per portion with its texts, and the division of each word; and one row per portion
         and division with its words."""
         portion = TaskContext.get().partitionId() << 32
-        for ids, texts in _slices(batches, PORTION_BYTES):
-            words, lines = cut(texts, pattern)
-            times = sum((np.bincount(x, minlength=len(words)) for x in lines), np.zeros(len(words)))
-            by_rank = np.argsort(-times, kind="stable")
-            ranks = np.empty(len(words), np.int64)
+        for ids, words, sizes, numbers in _portions(batches, pattern):
+            times = np.bincount(numbers, minlength=len(words))
+            first = np.zeros(len(words), np.int32)
+            first[numbers[::-1]] = np.arange(len(numbers) - 1, -1, -1, dtype=np.int32)
+            by_rank = np.lexsort((first, -times))
+            ranks = np.empty(len(words), np.int32)
             ranks[by_rank] = np.arange(len(words))
+            coded = _pack_ranks(sizes, ranks[numbers], int(np.count_nonzero(times > 1)))
             words = words.take(pa.array(by_rank))
             division = np.fromiter(
                 (zlib.crc32(w.encode()) % DIVISIONS for w in words.to_pylist()), np.uint8, len(words)
@@ -225,13 +266,15 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     "portion": pa.repeat(portion, len(lists) + 1),
                     "division": pa.array([None, *present], pa.int32()),
                     "doc_ids": doc_ids,
-                    "data": pa.array([_pack_ranks(lines, ranks), *lists], pa.binary()),
+                    "data": pa.array([coded, *lists], pa.binary()),
                     "divisions": pa.array(
                         [_pack(np.zeros(0), division.tobytes()), *[None] * len(lists)], pa.binary()
                     ),
                 }
             )
             portion += 1
+        # What cutting took must not stay with the worker while words are encoded.
+        pa.default_memory_pool().release_unused()
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The lists of a division follow each other, so only its words need to be remembered."""
@@ -243,7 +286,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for division, blob in zip(
                 batch["division"].to_pylist(), batch["data"].to_pylist(), strict=True
             ):
-                if division != last:
+                if division != last or len(known) > MOST_KNOWN:
                     last, known = division, {}
                 sizes, data = _unpack(blob)
                 ends = offsets_of(sizes).tolist()
@@ -282,8 +325,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             gather(offsets, flat, place[ranks[a:b]]).tobytes()
             for a, b in zip(ends, ends[1:], strict=False)
         ]
-        doc_ids = texts["doc_ids"].combine_chunks().flatten()
-        return pa.table({"doc_id": doc_ids, "ids": pa.array(out, pa.binary())})
+        columns = {
+            "doc_id": texts["doc_ids"].combine_chunks().flatten(),
+            "ids": pa.array(out, pa.binary()),
+        }
+        if decoded:
+            columns["decoded"] = _decoded(out, path, pattern)
+        return pa.table(columns)
 
     parts = staged(docs.select("doc_id", "text").mapInArrow(split, schema), "bpe")
     words = (
@@ -294,31 +342,39 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         .mapInArrow(encode_words, "portion long, division int, ids binary")
     )
     texts = parts.filter("division IS NULL").select("portion", "doc_ids", "data", "divisions")
-    result = T.StructType([T.StructField("doc_id", key), T.StructField("ids", T.BinaryType())])
+    names = ["ids", "decoded"] if decoded else ["ids"]
+    fields = [T.StructField("doc_id", key), *(T.StructField(x, T.BinaryType()) for x in names)]
+    result = T.StructType(fields)
     return texts.groupBy("portion").cogroup(words.groupBy("portion")).applyInArrow(assemble, result)
 
 
+def _decoded(column: Iterable[bytes | None], path: str, pattern: str) -> pa.Array:
+    """The bytes of each item's ids, from the table of token bytes."""
+    offsets, flat = _token_bytes(path, pattern)
+    found = (
+        None
+        if ids is None
+        else gather(offsets, flat, np.frombuffer(ids, "<u4").astype(np.int64)).tobytes()
+        for ids in column
+    )
+    return pa.array(found, pa.binary())
+
+
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """Add `decoded`, the bytes of the column `ids`; null ids give null bytes."""
     schema = T.StructType([*tokens.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        offsets, flat = _token_bytes(path, pattern)
         for batch in batches:
-            decoded = [
-                None
-                if ids is None
-                else gather(offsets, flat, np.frombuffer(ids, "<u4").astype(np.int64)).tobytes()
-                for ids in batch["ids"].to_pylist()
-            ]
-            yield batch.append_column("decoded", pa.array(decoded, pa.binary()))
+            found = _decoded(batch["ids"].to_pylist(), path, pattern)
+            yield batch.append_column("decoded", found)
 
     return tokens.mapInArrow(look_up, schema)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Number of tokens, digest of the ids, and digest of the decoded bytes of every text."""
-    coded = decode(encode(docs, path, pattern), path, pattern)
+    coded = encode(docs, path, pattern, decoded=True)
     return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -8,8 +8,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 import xxhash
 from tokenizers import Tokenizer
@@ -129,16 +131,37 @@ def test_bpe_equals_the_library(docs, none):
         expected[doc_id, len(ids), *digests] += 1
     assert got == expected
     assert bpe.digests(none, RANKS, PATTERN).count() == 0
+    again = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
+    texts = Counter((doc_id, (text or "").encode()) for doc_id, text, *_ in ROWS)
+    assert Counter((r.doc_id, bytes(r.decoded)) for r in again.collect()) == texts
 
 
 def test_ranks_survive_packing():
     rng = np.random.default_rng(1)
-    for size in (1, 300, 90_000):
-        lines = [rng.integers(0, size, n) for n in (0, 5, 1000)]
-        ranks = rng.permutation(size)
-        sizes, found = bpe._unpack_ranks(bpe._pack_ranks(lines, ranks))
-        assert sizes.tolist() == [0, 5, 1000]
-        assert found.tolist() == ranks[np.concatenate(lines)].tolist()
+    for repeated, once in ((0, 0), (1, 0), (0, 7), (300, 50), (90_000, 2000), (4_000_000, 9)):
+        numbers = rng.integers(0, max(repeated, 1), 3000 if repeated else 0)
+        numbers = np.insert(numbers, np.sort(rng.integers(0, len(numbers) + 1, once)), -1)
+        numbers[numbers < 0] = repeated + np.arange(once)
+        sizes = np.array([0, len(numbers) // 2, len(numbers) - len(numbers) // 2])
+        found = bpe._unpack_ranks(bpe._pack_ranks(sizes, numbers.astype(np.int32), repeated))
+        assert [x.tolist() for x in found] == [sizes.tolist(), numbers.tolist()]
+
+
+def test_portions_hold_the_pre_tokens_of_all_cuts(monkeypatch):
+    monkeypatch.setattr(bpe, "CUT_BYTES", 40)
+    monkeypatch.setattr(bpe, "PORTION_BYTES", 120)
+    texts = [f"word {i % 7} and  {'x' * i} again, again" for i in range(50)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(52)), "text": pa.array(texts)})
+    rebuilt, count = {}, 0
+    for ids, words, sizes, numbers in bpe._portions(iter([batch]), PATTERN):
+        assert len(set(words.to_pylist())) == len(words)
+        found = words.take(pa.array(numbers)).to_pylist()
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        for k, doc_id in enumerate(ids.to_pylist()):
+            rebuilt[doc_id] = found[ends[k] : ends[k + 1]]
+        count += 1
+    assert count > 5
+    assert rebuilt == {i: regex.findall(PATTERN, t or "") for i, t in enumerate(texts)}
 
 
 def test_exact_dedup(docs, none):
