@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import gather, offsets_of, staged
+from faultline.llm.common import gather, offsets_of, release_memory, staged
 
 # Bytes of texts that share one list of distinct pre-tokens, and of those that are cut at a time: the
 # lists get shorter with larger portions, while the memory that cutting takes depends on the cuts.
@@ -274,7 +274,7 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
             )
             portion += 1
         # What cutting took must not stay with the worker while words are encoded.
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The lists of a division follow each other, so only its words need to be remembered."""

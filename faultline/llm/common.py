@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -21,7 +22,7 @@ NOT_BLANKS = r"[^\x20\x09-\x0D]+"
 RANK_BUCKETS = 4096
 
 # Python code takes texts in portions of at most this many characters (or one text).
-PORTION_CHARS = 4_000_000
+PORTION_CHARS = 2_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,15 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str)
     )
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system. A Python worker outlives its task, and allocators would
+    keep what the largest portion took while the next stages run beside it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def portions(
     frames: Iterable[pd.DataFrame], column: str, most: int = PORTION_CHARS
 ) -> Iterator[pd.DataFrame]:
@@ -85,6 +95,7 @@ def portions(
             total += size
         if start < len(frame):
             yield frame.iloc[start:]
+    release_memory()
 
 
 def coded_words(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -16,6 +16,7 @@ import functools
 import os
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,10 @@ GAP = 1e-3
 # Words whose ids a Python worker remembers: as many again from before the last renewal.
 CACHE_WORDS = 100_000
 CACHE_CHARS = 40
-# Words that the tokenizer is given at a time.
+# Words in one line for the tokenizer, and lines that it is given at a time: what it returns takes
+# about a hundred bytes per token.
 LINE_WORDS = 500
+LINES = 20
 # Fixed value: how the vocabulary marks the end of a word.
 WORD_END = "</w>"
 
@@ -77,8 +80,7 @@ class WordIds:
         others = [i for i in missing if not words[i].isalpha()]
         lines = [letters[i : i + LINE_WORDS] for i in range(0, len(letters), LINE_WORDS)]
         batch = self._encode(" ".join(words[i] for i in line) for line in lines)
-        for line, encoding in zip(lines, batch, strict=True):
-            ids = np.asarray(encoding.ids, "<u4")
+        for line, ids in zip(lines, batch, strict=True):
             ends = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
             if len(ends) != len(line) + 1:
                 others += line
@@ -86,8 +88,8 @@ class WordIds:
             held = ids.tobytes()
             for i, start, end in zip(line, ends, ends[1:], strict=False):
                 found[i] = held[start:end]
-        for i, encoding in zip(others, self._encode(words[i] for i in others), strict=True):
-            found[i] = np.asarray(encoding.ids, "<u4").tobytes()
+        for i, ids in zip(others, self._encode(words[i] for i in others), strict=True):
+            found[i] = ids.tobytes()
         if len(self.recent) > CACHE_WORDS:
             self.recent, self.older = {}, self.recent
         self.recent.update(
@@ -95,8 +97,10 @@ class WordIds:
         )
         return found
 
-    def _encode(self, texts: Iterable[str]) -> list:
-        return self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+    def _encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        for some in batched(texts, LINES):
+            for encoding in self.tokenizer.encode_batch_fast(list(some), add_special_tokens=False):
+                yield np.asarray(encoding.ids, "<u4")
 
 
 @functools.cache
