@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.stats import ratio
+from faultline.functions.stats import exact, exact_ratio, ratio
 from faultline.functions.timeparts import duration_seconds
 
 
@@ -40,6 +40,13 @@ class Columns:
     def stress_mean(self) -> Column:
         return F.avg(self.stress)
 
+    def stress_mean_exact(self) -> Column:
+        """The mean that is compared with cuts: the same in every order of the rows."""
+        held = exact(self.stress)
+        return exact_ratio(
+            F.try_sum(held), F.count(held), F.sum(self.stress), F.count(self.stress)
+        )
+
     def stress_mean_flagged(self) -> Column:
         return F.avg(F.when(F.col(self.flag), F.col(self.stress)))
 
@@ -71,6 +78,14 @@ class PaneColumns(Columns):
     def stress_mean(self) -> Column:
         return ratio(F.sum("stress_sum"), F.sum("stress_n"))
 
+    def stress_mean_exact(self) -> Column:
+        return exact_ratio(
+            F.try_sum("stress_exact"),
+            F.sum(F.when(F.col("stress_exact").isNotNull(), F.col("stress_exact_n"))),
+            F.sum("stress_sum"),
+            F.sum("stress_n"),
+        )
+
     def stress_mean_flagged(self) -> Column:
         return ratio(F.sum("flagged_stress_sum"), F.sum("flagged_stress_n"))
 
@@ -107,6 +122,8 @@ def pane_sums(
         F.max(cols.value).alias("value_max"),
         F.sum(cols.stress).alias("stress_sum"),
         F.count(cols.stress).alias("stress_n"),
+        F.try_sum(exact(cols.stress)).alias("stress_exact"),
+        F.count(exact(cols.stress)).alias("stress_exact_n"),
         F.max(cols.stress).alias("stress_max"),
         F.min(cols.stress).alias("stress_min"),
         F.sum(flagged_stress).alias("flagged_stress_sum"),

@@ -8,14 +8,23 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faultline.functions.stats import pearson
+from faultline.functions.stats import for_each, pearson
 from faultline.operators.precursors import SEQUENCE_COLUMNS
 
+# Figures that need a row.
+NO_FIGURES = ["moyenne", "ecart_type", "minimum", "maximum"]
+
 
 def describe_columns(
-    df: DataFrame, columns: Sequence[str] = SEQUENCE_COLUMNS, entity: str | None = None
+    df: DataFrame,
+    columns: Sequence[str] = SEQUENCE_COLUMNS,
+    entity: str | None = None,
+    entities: DataFrame | None = None,
 ) -> DataFrame:
-    """Count, mean, standard deviation, minimum and maximum: one row per column (and entity)."""
+    """Count, mean, standard deviation, minimum and maximum: one row per column (and entity).
+
+    Entities of `entities` without a row in `df` have a count of 0.
+    """
     keys = [entity] if entity else []
     figures = [
         F.struct(
@@ -28,9 +37,17 @@ def describe_columns(
         )
         for name in columns
     ]
-    return (
-        df.groupBy(*keys).agg(F.array(*figures).alias("figures")).select(*keys, F.inline("figures"))
-    )
+    found = df.groupBy(*keys).agg(F.array(*figures).alias("figures"))
+    none = [
+        F.struct(
+            F.lit(name).alias("colonne"),
+            F.lit(0).cast("long").alias("nombre"),
+            *(F.lit(None).cast("double").alias(x) for x in NO_FIGURES),
+        )
+        for name in columns
+    ]
+    every = F.coalesce("figures", F.array(*none))
+    return for_each(entities, found, entity).select(*keys, F.inline(every))
 
 
 def correlation_pairs(
@@ -38,10 +55,12 @@ def correlation_pairs(
     columns: Sequence[str] = SEQUENCE_COLUMNS,
     entity: str | None = None,
     min_abs: float | None = 0.3,
+    entities: DataFrame | None = None,
 ) -> DataFrame:
     """Pearson correlation of every pair of columns, in one aggregation of `df`.
 
-    Only pairs with an absolute correlation above `min_abs` are kept; all pairs if it is None.
+    Only pairs with an absolute correlation above `min_abs` are kept; all pairs if it is None, then
+    also those of `entities` without a row in `df`, as null.
     """
     keys = [entity] if entity else []
     pairs = [
@@ -52,5 +71,15 @@ def correlation_pairs(
         )
         for left, right in combinations(sorted(columns), 2)
     ]
-    matrix = df.groupBy(*keys).agg(F.array(*pairs).alias("pairs")).select(*keys, F.inline("pairs"))
+    none = [
+        F.struct(
+            F.lit(left).alias("gauche"),
+            F.lit(right).alias("droite"),
+            F.lit(None).cast("double").alias("correlation"),
+        )
+        for left, right in combinations(sorted(columns), 2)
+    ]
+    found = df.groupBy(*keys).agg(F.array(*pairs).alias("pairs"))
+    every = F.coalesce("pairs", F.array(*none))
+    matrix = for_each(entities, found, entity).select(*keys, F.inline(every))
     return matrix if min_abs is None else matrix.filter(F.abs("correlation") > min_abs)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.functions.stats import ratio
+from faultline.functions.stats import for_each, ratio
 from faultline.columns import COLUMNS, Columns
 
 # Stand in for a missing time or key: before any real one, and exact as a double.
@@ -204,10 +204,16 @@ def _trailing(
     )
 
 
-def precursor_conditions(features: DataFrame, entity: str | None = None) -> DataFrame:
-    """Mean trailing conditions at the readings marked `majeur`, and their number."""
+def precursor_conditions(
+    features: DataFrame, entity: str | None = None, entities: DataFrame | None = None
+) -> DataFrame:
+    """Mean trailing conditions at the readings marked `majeur`, and their number.
+
+    Only these readings are joined to their frames. Entities without any are in the result, with the
+    number 0, if `entities` names them.
+    """
     keys = [entity] if entity else []
-    return (
+    found = (
         features.filter("majeur")
         .groupBy(*keys)
         .agg(
@@ -217,6 +223,7 @@ def precursor_conditions(features: DataFrame, entity: str | None = None) -> Data
             F.count(F.lit(1)).alias("nombre_evenements_majeurs"),
         )
     )
+    return for_each(entities, found, entity).fillna(0, ["nombre_evenements_majeurs"])
 
 
 def tremor_sequences(

@@ -65,7 +65,7 @@ def sliding_stats(
     if not df.isStreaming and duration_seconds(width) % duration_seconds(slide) == 0:
         df, cols = pane_sums(df, slide, cols=cols), PANES
     return df.groupBy(F.window(cols.time, width, slide)).agg(
-        cols.stress_mean().alias("tension_avg"),
+        cols.stress_mean_exact().alias("tension_avg"),
         cols.stress_max().alias("tension_max"),
         cols.stress_min().alias("tension_min"),
         cols.flagged().alias("nb_secousses"),
@@ -73,15 +73,9 @@ def sliding_stats(
     )
 
 
-def _settled(name: str) -> Column:
-    """A mean as it is compared with a cut. Its last bits depend on the order of the sum, so a mean
-    that equals the cut would pass it in one run and not in the next."""
-    return F.round(name, 9)
-
-
 def risk_level(stats: DataFrame, rules: RiskRules = RULES) -> DataFrame:
     """Add `tension_variation` and `risk_level`; the first matching rule wins."""
-    variation, mean = F.col("tension_variation"), _settled("tension_avg")
+    variation, mean = F.col("tension_variation"), F.col("tension_avg")
     high = (variation > rules.high_variation) & (mean > rules.high_mean)
     moderate = (F.col("tension_max") > rules.moderate_max) | (F.col("nb_secousses") > 0)
     low = (mean > rules.low_mean) & (variation < rules.low_variation)
@@ -92,11 +86,8 @@ def risk_level(stats: DataFrame, rules: RiskRules = RULES) -> DataFrame:
 
 
 def _figure(name: str) -> Column:
-    """Three decimals as text. Rounding a decimal keeps half-way values from depending on the order
-    in which the mean was summed."""
-    exact = F.col(name).try_cast("decimal(18,9)")
-    rounded = F.coalesce(F.round(exact, 3).cast("double"), F.round(name, 3))
-    return F.coalesce(rounded.cast("string"), F.lit(""))
+    """Three decimals as text."""
+    return F.coalesce(F.round(name, 3).cast("string"), F.lit(""))
 
 
 def alert_message(df: DataFrame) -> DataFrame:
@@ -149,7 +140,7 @@ def precursor_patterns(alerts: DataFrame, rules: RiskRules = RULES) -> DataFrame
     return alerts.withColumns(
         {
             "hausse_rapide": F.col("tension_variation") > rules.pattern_variation,
-            "tension_elevee": _settled("tension_avg") > rules.pattern_mean,
+            "tension_elevee": F.col("tension_avg") > rules.pattern_mean,
             "secousses_presentes": F.col("nb_secousses") > 0,
         }
     )

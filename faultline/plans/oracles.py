@@ -153,10 +153,10 @@ FEATURE_COLUMNS = """event_id, date, ville, secousse, magnitude,
        magnitude_moy_precedente,
        tension_moy_precedente"""
 
-CONDITIONS = """avg(nb_secousses_precedentes) AS moy_secousses_avant,
-       avg(magnitude_moy_precedente) AS moy_magnitude_avant,
-       avg(tension_moy_precedente) AS moy_tension_avant,
-       count(*) AS nombre_evenements_majeurs"""
+CONDITIONS = """avg(nb_secousses_precedentes) FILTER (magnitude > seuil) AS moy_secousses_avant,
+       avg(magnitude_moy_precedente) FILTER (magnitude > seuil) AS moy_magnitude_avant,
+       avg(tension_moy_precedente) FILTER (magnitude > seuil) AS moy_tension_avant,
+       count(*) FILTER (magnitude > seuil) AS nombre_evenements_majeurs"""
 
 SEQUENCE = [
     "magnitude",
@@ -170,10 +170,11 @@ SEQUENCE = [
 def described(entity: bool) -> str:
     key, group = ("ville, ", " GROUP BY ville") if entity else ("", "")
     rows = [
-        f"""SELECT {key}'{c}' AS colonne, count({c}) AS nombre, avg({c}) AS moyenne,
-       stddev_samp({c}) AS ecart_type, CAST(min({c}) AS DOUBLE) AS minimum,
-       CAST(max({c}) AS DOUBLE) AS maximum
-FROM f WHERE secousse{group}"""
+        f"""SELECT {key}'{c}' AS colonne, count({c}) FILTER (secousse) AS nombre,
+       avg({c}) FILTER (secousse) AS moyenne, stddev_samp({c}) FILTER (secousse) AS ecart_type,
+       CAST(min({c}) FILTER (secousse) AS DOUBLE) AS minimum,
+       CAST(max({c}) FILTER (secousse) AS DOUBLE) AS maximum
+FROM f{group}"""
         for c in SEQUENCE
     ]
     return f"{features(entity)}\n" + "\nUNION ALL\n".join(rows)
@@ -183,14 +184,14 @@ def correlated(entity: bool) -> str:
     """One scan for all ten pairs, then one row per pair."""
     key, group = ("ville, ", " GROUP BY ville") if entity else ("", "")
     pairs = list(combinations(sorted(SEQUENCE), 2))
-    cells = ", ".join(f"corr({x}, {y}) AS c{i}" for i, (x, y) in enumerate(pairs))
+    cells = ", ".join(f"corr({x}, {y}) FILTER (secousse) AS c{i}" for i, (x, y) in enumerate(pairs))
     rows = [
         f"SELECT {key}'{x}' AS gauche, '{y}' AS droite, "
         f"CASE WHEN isnan(c{i}) THEN NULL ELSE c{i} END AS correlation FROM c"
         for i, (x, y) in enumerate(pairs)
     ]
     return (
-        f"{features(entity)}, c AS (SELECT {key}{cells} FROM f WHERE secousse{group})\n"
+        f"{features(entity)}, c AS (SELECT {key}{cells} FROM f{group})\n"
         + "\nUNION ALL\n".join(rows)
     )
 
@@ -204,15 +205,17 @@ SLIDING = (
   FROM r
 ), st AS (
   SELECT window_start, window_start + INTERVAL 5 minutes AS window_end,
-         avg(tension_entre_plaque) AS tension_avg, max(tension_entre_plaque) AS tension_max,
+         CAST(sum(CAST(tension_entre_plaque AS DECIMAL(38, 12))) AS DOUBLE)
+           / count(tension_entre_plaque) AS tension_avg,
+         max(tension_entre_plaque) AS tension_max,
          min(tension_entre_plaque) AS tension_min,
          max(tension_entre_plaque) - min(tension_entre_plaque) AS tension_variation,
          count(CASE WHEN secousse THEN 1 END) AS nb_secousses, max(magnitude) AS max_magnitude
   FROM w GROUP BY window_start
 ), lv AS (
-  SELECT *, CASE WHEN tension_variation > 0.02 AND round(tension_avg, 9) > 1.05 THEN 'ÉLEVÉ'
+  SELECT *, CASE WHEN tension_variation > 0.02 AND tension_avg > 1.05 THEN 'ÉLEVÉ'
                  WHEN tension_max > 1.08 OR nb_secousses > 0 THEN 'MODÉRÉ'
-                 WHEN round(tension_avg, 9) > 1.06 AND tension_variation < 0.01 THEN 'FAIBLE'
+                 WHEN tension_avg > 1.06 AND tension_variation < 0.01 THEN 'FAIBLE'
                  ELSE 'NORMAL' END AS risk_level
   FROM st
 )"""
@@ -220,7 +223,9 @@ SLIDING = (
 
 
 def figure(column: str) -> str:
-    return f"CAST(CAST(round(CAST({column} AS DECIMAL(18, 9)), 3) AS DOUBLE) AS VARCHAR)"
+    """Three decimals of the double as it prints, half-way values away from zero."""
+    exact = f"CAST(CAST({column} AS VARCHAR) AS DECIMAL(38, 18))"
+    return f"CAST(CAST(round({exact}, 3) AS DOUBLE) AS VARCHAR)"
 
 
 ALERTS = (
@@ -335,9 +340,9 @@ SELECT * FROM k WHERE rang <= 3""",
     "precursor_features_global": f"{features(False)}\nSELECT {FEATURE_COLUMNS} FROM f",
     "precursor_features_entity": f"{features(True)}\nSELECT {FEATURE_COLUMNS} FROM f",
     "precursor_conditions_global": f"""{features(False, MAJOR)}
-SELECT {CONDITIONS} FROM f, t WHERE magnitude > seuil""",
+SELECT {CONDITIONS} FROM f, t""",
     "precursor_conditions_entity": f"""{features(True, MAJOR_ENTITY)}
-SELECT ville, {CONDITIONS} FROM f JOIN t USING (ville) WHERE magnitude > seuil GROUP BY ville""",
+SELECT ville, {CONDITIONS} FROM f LEFT JOIN t USING (ville) GROUP BY ville""",
     "tremor_sequences": f"""{features(False)}
 SELECT date, magnitude,
        tension_entre_plaque, nb_secousses_precedentes,
@@ -362,9 +367,9 @@ WHERE abs(correlation) > 0.3""",
 {counts({
         "seuil": "SELECT * FROM t",
         "precurseurs": "SELECT * FROM r",
-        "conditions": "SELECT DISTINCT ville FROM m",
+        "conditions": "SELECT DISTINCT ville FROM r",
         "sequences": "SELECT * FROM r WHERE secousse",
-        "statistiques": "SELECT DISTINCT ville, unnest(range(5)) FROM r WHERE secousse",
+        "statistiques": "SELECT DISTINCT ville, unnest(range(5)) FROM r",
     })}
 UNION ALL
 SELECT 'correlations', count(*) FROM ({correlated(True)}) WHERE abs(correlation) > 0.3
@@ -382,7 +387,7 @@ SELECT risk_level, count(*) AS nombre_fenetres FROM lv GROUP BY risk_level""",
 SELECT * FROM al WHERE risk_level <> 'NORMAL' AND nb_secousses = 0""",
     "precursor_patterns": f"""{SLIDING}
 SELECT window_start, tension_variation > 0.04 AS hausse_rapide,
-       round(tension_avg, 9) > 1.08 AS tension_elevee, nb_secousses > 0 AS secousses_presentes
+       tension_avg > 1.08 AS tension_elevee, nb_secousses > 0 AS secousses_presentes
 FROM lv""",
     "message_roundtrip": f"""{READINGS}
 SELECT strftime(date, '%Y-%m-%d %H:%M:%S') AS timestamp, secousse, magnitude,
@@ -409,3 +414,11 @@ for single in [
     "critical_periods",
 ]:
     ORACLES[f"report_{single}"] = ORACLES[single]
+
+for suffix, stats in (("global", "sequence_stats"), ("entity", "sequence_stats_entity")):
+    pairs = ORACLES[f"correlation_pairs_{suffix}"]
+    hours = "major_event_hours" if suffix == "global" else "major_event_hours_entity"
+    ORACLES[f"report_conditions_{suffix}"] = ORACLES[f"precursor_conditions_{suffix}"]
+    ORACLES[f"report_sequence_stats_{suffix}"] = ORACLES[stats]
+    ORACLES[f"report_correlations_{suffix}"] = f"SELECT * FROM ({pairs}) WHERE abs(correlation) > 0.3"
+    ORACLES[f"report_major_hours_{suffix}"] = ORACLES[hours]

@@ -223,6 +223,10 @@ def _marked_features(spark: SparkSession, sf_dir: str, entity: str | None) -> Da
     return precursors.precursor_features(marked, entity=entity, key=EVENT_KEY, previous=False)
 
 
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_readings(spark, sf_dir).select(EVENT_ENTITY)
+
+
 @query
 def precursor_features_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_features(spark, sf_dir, None, previous=True))
@@ -241,7 +245,8 @@ def precursor_conditions_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def precursor_conditions_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _marked_features(spark, sf_dir, EVENT_ENTITY)
-    return comparable(precursors.precursor_conditions(features, EVENT_ENTITY))
+    entities = _entities(spark, sf_dir)
+    return comparable(precursors.precursor_conditions(features, EVENT_ENTITY, entities))
 
 
 @query
@@ -258,7 +263,10 @@ def sequence_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sequence_stats_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     sequences = precursors.tremor_sequences(_features(spark, sf_dir, EVENT_ENTITY), EVENT_ENTITY)
-    return comparable(correlate.describe_columns(sequences, entity=EVENT_ENTITY))
+    entities = _entities(spark, sf_dir)
+    return comparable(
+        correlate.describe_columns(sequences, entity=EVENT_ENTITY, entities=entities)
+    )
 
 
 @query
@@ -271,7 +279,12 @@ def correlation_pairs_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 def correlation_pairs_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ten pairs of every entity, also the weak ones."""
     sequences = precursors.tremor_sequences(_features(spark, sf_dir, EVENT_ENTITY), EVENT_ENTITY)
-    return comparable(correlate.correlation_pairs(sequences, entity=EVENT_ENTITY, min_abs=None))
+    entities = _entities(spark, sf_dir)
+    return comparable(
+        correlate.correlation_pairs(
+            sequences, entity=EVENT_ENTITY, min_abs=None, entities=entities
+        )
+    )
 
 
 # --- reports -----------------------------------------------------------------------------------
@@ -312,6 +325,23 @@ def precursor_report_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.row_counts(precursor_report(readings, entity=EVENT_ENTITY, key=EVENT_KEY))
 
 
+def precursor_table(table: str, entity: str | None) -> Query:
+    """One table of the precursor report, general or with every entity."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        readings = event_readings(spark, sf_dir)
+        return comparable(precursor_report(readings, entity=entity, key=EVENT_KEY)[table])
+
+    return build
+
+
+for suffix, name in (("global", None), ("entity", EVENT_ENTITY)):
+    QUERIES[f"report_conditions_{suffix}"] = precursor_table("conditions", name)
+    QUERIES[f"report_sequence_stats_{suffix}"] = precursor_table("statistiques", name)
+    QUERIES[f"report_correlations_{suffix}"] = precursor_table("correlations", name)
+    QUERIES[f"report_major_hours_{suffix}"] = precursor_table("heures_majeures", name)
+
+
 # --- risk --------------------------------------------------------------------------------------
 
 

@@ -65,12 +65,15 @@ def precursor_report(
     )
     sequences = tremor_sequences(features, entity, cols)
     keys = [entity] if entity else []
+    # The features are stored, so this reads one of their columns.
+    entities = features.select(entity) if entity else None
+    statistics = describe_columns(sequences, entity=entity, entities=entities)
     tables = {
         "seuil": (threshold, keys),
         "precurseurs": (features, [*keys, "time_seconds"]),
-        "conditions": (precursor_conditions(features, entity), keys),
+        "conditions": (precursor_conditions(features, entity, entities), keys),
         "sequences": (sequences, [*keys, cols.time]),
-        "statistiques": (describe_columns(sequences, entity=entity), [*keys, "colonne"]),
+        "statistiques": (statistics, [*keys, "colonne"]),
         "correlations": (correlation_pairs(sequences, entity=entity), [*keys, "gauche", "droite"]),
         "heures_majeures": (major_event_hours(df, threshold, entity, cols), [*keys, "heure"]),
     }

@@ -41,3 +41,21 @@ def test_description(spark):
     assert rows[0][4] == pytest.approx(2**0.5)
     assert rows[1] == ("y", "m", 1, 5.0, None, 5.0, 5.0)
     assert collect(describe_columns(df.filter("m > 9"), ["m"])) == [("m", 0, None, None, None, None)]
+
+
+def test_entities_without_a_row_are_kept(spark):
+    df = spark.createDataFrame([("x", 1.0, 2.0), ("x", 3.0, 1.0)], "ville string, m double, n double")
+    names = spark.createDataFrame([("x",), ("quiet",), (None,), ("quiet",)], "ville string")
+    described = describe_columns(df, ["m"], "ville", names)
+    assert collect(described.select("ville", "colonne", "nombre", "moyenne"), "ville") == [
+        (None, "m", 0, None),
+        ("quiet", "m", 0, None),
+        ("x", "m", 2, 2.0),
+    ]
+    pairs = correlation_pairs(df, ["m", "n"], "ville", None, names)
+    assert [(r[0], r[1], r[2], r[3] is None) for r in collect(pairs, "ville")] == [
+        (None, "m", "n", True),
+        ("quiet", "m", "n", True),
+        ("x", "m", "n", False),
+    ]
+    assert collect(correlation_pairs(df, ["m", "n"], "ville", 0.3, names).select("ville")) == [("x",)]

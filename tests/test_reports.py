@@ -10,7 +10,7 @@ from faultline.plans.queries import comparable
 from faultline.plans.reports import aggregation_report, precursor_report
 from faultline.sources.readers import read_parquet
 from faultline.sources.sinks import save_tables
-from helpers import collect
+from helpers import collect, readings
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -77,3 +77,14 @@ def test_cities_can_be_analysed_as_one(df):
     report = precursor_report(df, key="event_id", ordered=True)
     assert report["precurseurs"].count() == df.count()
     assert report["conditions"].count() == 1
+
+
+def test_quiet_cities_are_in_the_precursor_report(spark):
+    """A city of ten equal values has no major event, and without a tremor no sequence."""
+    rows = [(60 * i, "quiet", False, 1.0, 1.0) for i in range(10)]
+    rows += [(60 * i, "a", i % 2 == 0, float(i), 1.0) for i in range(10)]
+    tables = precursor_report(readings(spark, rows), entity="ville", key="event_id")
+    conditions = {r["ville"]: r["nombre_evenements_majeurs"] for r in tables["conditions"].collect()}
+    assert conditions == {"a": 1, "quiet": 0}
+    counted = {(r["ville"], r["nombre"]) for r in tables["statistiques"].collect()}
+    assert counted == {("a", 5), ("quiet", 0)}

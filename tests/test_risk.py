@@ -19,7 +19,8 @@ def leveled(spark, rows):
     [
         (1.06, 1.0625, 1.03125, 0, risk.HIGH),
         (1.05, 1.0625, 1.03125, 0, risk.NORMAL),
-        (1.0500000000000003, 1.0625, 1.03125, 0, risk.NORMAL),
+        (1.0500000000000003, 1.0625, 1.03125, 0, risk.HIGH),
+        (1.0500000004, 1.1, 1.05, 0, risk.HIGH),
         (1.04, 1.05, 1.04, 1, risk.MODERATE),
         (1.07, 1.08, 1.08, 0, risk.LOW),
         (1.07, 1.0800001, 1.08, 0, risk.MODERATE),
@@ -76,3 +77,24 @@ def test_findings(spark):
         True,
         False,
     )
+
+
+@pytest.mark.parametrize(
+    "values, mean",
+    [
+        ([1.003, 1.097, 1.05, 1.049, 1.051], 1.05),
+        ([1.0500000000000003], 1.0500000000000003),
+        ([1e27, 1e27], 1e27),
+        ([1e-25, 3e-25], (1e-25 + 3e-25) / 2),
+        ([1.0, float("inf")], float("inf")),
+        ([None, 2.0], 2.0),
+        ([None], None),
+    ],
+)
+def test_means_are_exact_in_any_order_and_lose_no_value(spark, values, mean):
+    """In panes of a minute and directly; values that no decimal holds are summed as doubles."""
+    for order in (values, values[::-1]):
+        df = readings(spark, [(60 * i, "a", False, 0.0, x) for i, x in enumerate(order)])
+        for slide in ("10 minutes", "1 minute"):
+            found = risk.sliding_stats(df, "10 minutes", slide).orderBy("window").collect()
+            assert mean in [row["tension_avg"] for row in found]
