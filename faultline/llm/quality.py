@@ -2,7 +2,9 @@
 
 Lines are normalised and hashed, and the distinct documents that hold a line are counted per host.
 Copies of one text count as one document, so that a text is not taken for boilerplate because it was
-stored twice. Lines beyond both limits are removed; documents that lose too much are rejected.
+stored twice. Lines of several words beyond the number of documents are removed, whatever the size of
+their host; shorter ones must also pass a share of its documents. Documents that lose too much are
+rejected.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW = 5
 
-# A line goes if more than this many documents of its host hold it, and more than this share of them.
+# A line goes if more than this many documents of its host hold it. One of fewer than `LONG_LINE` words,
+# which authors may write alike by chance, goes only if more than this share of them hold it as well.
 LINE_DOCUMENTS = 10
 LINE_SHARE = 0.1
+LONG_LINE = 5
 # A document is depleted if its lines keep a smaller share of their words, or too few words.
 KEPT_SHARE = 0.3
 
@@ -123,10 +127,12 @@ def repeated_lines(
     hosts = rows.groupBy("_host").agg(F.count_distinct("_text").alias("_documents"))
     common = (
         rows.groupBy("_host", "line")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("words").alias("_words"))
         .filter(F.col("_n") > documents)
         .join(hosts, "_host")
-        .filter(F.col("_n") > F.lit(share) * F.col("_documents"))
+        .filter(
+            (F.col("_words") >= LONG_LINE) | (F.col("_n") > F.lit(share) * F.col("_documents"))
+        )
         .select("_host", "line", F.lit(True).alias("_common"))
     )
     return (

@@ -309,6 +309,15 @@ def test_quality_metrics_and_lines(spark, docs, none):
     assert all(judged[100 + i].removed_words == 6 for i in range(3))
 
 
+def test_quality_lines_of_large_hosts(spark):
+    own = lambda i: " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}{'z' * k}" for k in range(20))
+    # Of 200 texts 11 hold a long line, 10 another, 11 a short one and 21 another short one.
+    lines = {"All rights of this page reserved": 11, "Ten texts hold this long line": 10, "See also here": 11, "Read more": 21}
+    rows = [(i, "\n".join([own(i), *(line for line, n in lines.items() if i < n)]), "h") for i in range(200)]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert [judged[i].removed_words for i in range(22)] == [8] * 11 + [2] * 10 + [0]
+
+
 def test_licenses(spark, docs, none):
     got = licenses.scan(docs).collect()
     assert [(r.doc_id, r.license, r.containment) for r in got] == [(9, "MIT", 1.0)]
