@@ -5,18 +5,20 @@ shingles would leave nothing to measure). Windows of eight shingles start every
 minimum per band. A window meets a notice in the index if they agree in any band. The number of bands
 follows from the least similarity that a window holding a notice can have, so that a notice is missed
 with a probability of at most `miss`. Candidates are confirmed by the share of the notice's shingles
-that the text holds.
+that the text holds. Licenses of one family share most of a notice, so that the words that tell a
+notice from its siblings must stand in the text as they are.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm.common import ascii_lower
+from faultline.llm.notices import FAMILIES, MORE_NOTICES
 
 SHINGLE = 3
 STEP = 4
@@ -44,6 +46,12 @@ NOTICES = {
 }
 
 
+ALL_NOTICES = {**NOTICES, **MORE_NOTICES}
+
+# The words that tell siblings apart count with so many shingles before them.
+LEAD = 2
+
+
 def with_shingles(df: DataFrame) -> DataFrame:
     """Add `_shingles`: hashes of the three-word shingles of the text, in order.
 
@@ -90,17 +98,51 @@ def minima(part: Column, masks: Column) -> Column:
     )
 
 
+def telling_runs(
+    known: Mapping[str, list[int]], families: Iterable[Iterable[str]]
+) -> dict[str, list[int]]:
+    """Per notice the shortest run of its shingles in which it parts from each of its siblings.
+
+    Where a notice parts from a sibling, the first `SHINGLE` shingles that the sibling lacks count, as
+    authors vary what follows. A run starts `LEAD` shingles early, so that it is not met at another
+    place of a text by chance.
+    """
+    telling: dict[str, set[int]] = {name: set() for name in known}
+    for family in families:
+        members = [name for name in family if name in known]
+        for name in members:
+            for other in members:
+                if other != name:
+                    telling[name] |= _parting(known[name], set(known[other]))
+    runs = {}
+    for name, sequence in known.items():
+        places = sorted(telling[name])
+        runs[name] = sequence[max(0, places[0] - LEAD) : places[-1] + 1] if places else []
+    return runs
+
+
+def _parting(sequence: list[int], other: set[int]) -> set[int]:
+    places, length = set(), 0
+    for i, x in enumerate(sequence):
+        length = 0 if x in other else length + 1
+        if 0 < length <= SHINGLE:
+            places.add(i)
+    return places
+
+
 def scan(
     docs: DataFrame,
-    notices: Mapping[str, str] = NOTICES,
+    notices: Mapping[str, str] = ALL_NOTICES,
     containment: float = LEAST_CONTAINMENT,
     miss: float = MISS,
+    families: Iterable[Iterable[str]] = FAMILIES,
 ) -> DataFrame:
     """The notices that each text holds: `doc_id, license, containment, shared, start_word`.
 
     One row per input row and notice of which the text holds at least a share `containment` of the
-    shingles; texts without one, null and empty texts give no row. `start_word` is the word (from 0)
-    where the first shared shingle starts. Repeated rows give repeated results. The list of notices
+    shingles, and the words that tell it from its siblings in `families` in one run; texts without
+    one, null and empty texts give no row. `start_word` is the word (from 0) where the first shared
+    shingle starts. Repeated rows give repeated results. The list of notices
     is a parameter, and the plan holds it whole; notices need three words. The scan reads each text
     once and shuffles nothing. Other columns of `docs` are ignored.
     """
@@ -145,6 +187,10 @@ def scan(
     )
     names = F.array(*(F.lit(name) for name in known))
     templates = F.array(*(F.array(*(F.lit(x) for x in sorted(set(s)))) for s in known.values()))
+    tells = telling_runs(known, families)
+    runs = F.array(
+        *(F.array(*(F.lit(x) for x in tells[name])).cast("array<bigint>") for name in known)
+    )
 
     # Texts that meet no notice leave at the explosion below: a filter here would be pushed under
     # the steps above, and compute them twice.
@@ -165,12 +211,20 @@ def scan(
             lambda i: i.isNotNull(),
         )
     )
+    at = F.sequence(F.lit(0), F.greatest(F.size("_shingles") - F.size("_run"), F.lit(0)))
+    told_apart = (F.size("_run") == 0) | F.exists(
+        at,
+        lambda i: (F.get(F.col("_shingles"), i) == F.get(F.col("_run"), F.lit(0)))
+        & (F.slice(F.col("_shingles"), i + 1, F.size("_run")) == F.col("_run")),
+    )
     return (
         candidates.withColumn("_number", F.explode(numbers))
         .withColumn("_template", F.get(templates, F.col("_number")))
         .withColumn("shared", shared)
         .withColumn("containment", F.col("shared") / F.size("_template"))
         .filter(F.col("containment") >= containment)
+        .withColumn("_run", F.get(runs, F.col("_number")))
+        .filter(told_apart)
         .select(
             "doc_id",
             F.get(names, F.col("_number")).alias("license"),

@@ -337,6 +337,47 @@ def test_licenses(spark, docs, none):
     assert licenses.band_count(3) == 15
 
 
+def test_sibling_licenses(spark):
+    gnu = "This work is licensed under the GNU {} Public License, version {}"
+    cc = "This work is licensed under a Creative Commons {} 4.0 International License"
+    notice = "{} is free software: you can redistribute it and/or modify it under the terms of the GNU {} Public License {}as published by the Free Software Foundation"
+    binary = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n"
+    clause = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+    end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+    texts = [
+        (gnu.format("General", "3"), {"GPL-3.0"}),
+        (gnu.format("General", "2"), {"GPL-2.0"}),
+        (gnu.format("General", "4"), set()),
+        (gnu.format("Lesser General", "3"), {"LGPL-3.0"}),
+        (gnu.format("Lesser General", "2.1"), {"LGPL-2.1"}),
+        (gnu.format("Affero General", "3"), {"AGPL-3.0"}),
+        (gnu.format("Lesser General", "3") + ". It refers to the GNU General Public License.", {"LGPL-3.0"}),
+        (gnu.format("General", "3") + ". " + gnu.format("Lesser General", "3"), {"GPL-3.0", "LGPL-3.0"}),
+        (cc.format("Attribution"), {"CC-BY-4.0"}),
+        (cc.format("Attribution-ShareAlike"), {"CC-BY-SA-4.0"}),
+        (cc.format("Attribution-NonCommercial-NoDerivatives"), {"CC-BY-NC-ND-4.0"}),
+        (cc.format("Attribution-NonCommercial"), {"CC-BY-NC-4.0 notice"}),
+        (notice.format("This program", "General", ""), {"GPL notice"}),
+        (notice.format("This file", "General", "version 2 "), {"GPL notice"}),
+        (notice.format("This program", "Affero General", ""), {"AGPL notice"}),
+        (notice.format("This library", "Lesser General", "") + ". See the GNU General Public License.", {"LGPL notice"}),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n It adds to version 3 of the GNU General Public License", {"LGPL-3.0 text"}),
+        (licenses.ALL_NOTICES["ECL-2.0 notice"], {"ECL-2.0 notice"}),
+        (licenses.ALL_NOTICES["ISC"], {"ISC"}),
+        (binary + end, {"BSD-2-Clause"}),
+        (binary + "3. " + clause + end, {"BSD-3-Clause"}),
+        (binary + clause + end, {"BSD-3-Clause unnumbered"}),
+    ]
+    rows = [(i, f"{' '.join(VOCABULARY[:50])}\n{text}\n{' '.join(VOCABULARY)}") for i, (text, _) in enumerate(texts)]
+    found = defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found[r.doc_id].add(r.license)
+    assert [(t, found[i]) for i, (t, _) in enumerate(texts)] == texts
+    rows = list(enumerate(licenses.ALL_NOTICES.values()))
+    exact = {(r.doc_id, r.license) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).filter("containment = 1").collect()}
+    assert set(enumerate(licenses.ALL_NOTICES)) <= exact
+
+
 def test_language_spans_and_held_out_rows(spark, docs, none, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language.fit(table)
