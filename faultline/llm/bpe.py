@@ -3,10 +3,11 @@
 1. Texts are cut into pre-tokens. Each portion of texts lists its distinct pre-tokens, and keeps its
    texts as positions in that list: a frequent pre-token counts once per portion.
 2. The lists are divided by a hash of the pre-token and shuffled, so that equal pre-tokens meet in one
-   task, which encodes each distinct one once.
+   task, which encodes each distinct one once, as long as a division has at most `MOST_KNOWN` of them.
 3. The ids go back to their portions, where the texts are put together again by position.
 
-Decoding looks every id up in the table of token bytes (as many rows as the vocabulary).
+Decoding looks every id up in an array of token bytes (as many as the vocabulary has), in the task that
+puts the ids together; no join is made for it.
 """
 
 from __future__ import annotations
