@@ -3,7 +3,8 @@
 The index is divided into shards by digest. A shard holds a cuckoo filter of short fingerprints, and
 the stored keys behind it: the full digest of the content, the row that stays, and the number of live
 rows. A digest that the filter does not know is new without a look at the stored keys; a hit is
-verified against the stored keys of the two buckets it may lie in. When a fingerprint finds no place,
+verified against the stored keys of the whole shard, which are a map by digest. They are not stored by
+bucket, so the filter only saves lookups in a map that would give the answer alone. When a fingerprint finds no place,
 the filter is built again with twice the buckets from the stored keys. Deleting the last live row of
 a digest takes its fingerprint out of the filter.
 
@@ -98,7 +99,7 @@ class CuckooFilter:
 
 
 class Shard:
-    """One shard while it is changed: the filter, and the stored keys by bucket."""
+    """One shard while it is changed: the filter, and the stored keys by digest."""
 
     def __init__(self, keys: pd.DataFrame, filters: pd.DataFrame):
         self.keys: dict[bytes, list] = {
