@@ -98,6 +98,22 @@ def portions(
     release_memory()
 
 
+def arrow_portions(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = PORTION_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that the texts of one portion stay within `most` bytes (or are one)."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start, total = 0, 0
+        for i, size in enumerate(sizes.tolist()):
+            if total and total + size > most:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += size
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def coded_words(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The words of texts inside Python code, the same as `words` has: the distinct ones, the number
     of each word in order, and where each text starts and ends in that order."""

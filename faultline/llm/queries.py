@@ -16,6 +16,7 @@ from faultline.llm import (
     near_dup,
     packing,
     quality,
+    resampling,
     sharding,
     toxicity,
     urls,
@@ -92,3 +93,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return resampling.resample(read_table(spark, sf_dir, "documents"), benchmark)
