@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from faultline.llm.licenses import LEAST_CONTAINMENT, NOTICES
 from faultline.llm.licenses import SHINGLE as NOTICE_SHINGLE
+from faultline.llm.line_dedup import LEAST_CHARS, LEAST_DOCUMENTS
 from faultline.llm.quality import (
     KEPT_SHARE,
     LEAST_WORDS,
@@ -152,3 +153,24 @@ roots AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN roots ON node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+ORACLES["op12_line_dedup"] = rf"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+),
+keyed AS (
+  SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+  FROM lines
+),
+shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= {LEAST_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {LEAST_DOCUMENTS}
+),
+judged AS (
+  SELECT k.*, coalesce(k.doc_id <> keeper, false) AS dropped FROM keyed k LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count_if(dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

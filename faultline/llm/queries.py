@@ -13,8 +13,10 @@ from faultline.llm import (
     exact_dedup,
     language,
     licenses,
+    line_dedup,
     near_dup,
     packing,
+    periodic,
     quality,
     resampling,
     sharding,
@@ -95,6 +97,27 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth document has runs planted first, as the contract of this query asks."""
+    docs = periodic.with_planted_runs(read_table(spark, sf_dir, "documents"))
+    found = periodic.collapse_runs(docs).withColumn("top", periodic.longest_run(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"top.{name}").alias(name) for name in ("start", "length", "period")),
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(periodic.run_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2(F.col("text"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_shared_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = read_table(spark, sf_dir, "benchmark")
