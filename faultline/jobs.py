@@ -60,8 +60,11 @@ def aggregate(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def precursors(spark: SparkSession, args: argparse.Namespace) -> None:
-    report = precursor_report(cleaned(spark, args), args.frame_seconds, args.entity, args.key)
-    save_tables(report, args.target)
+    report = precursor_report(
+        cleaned(spark, args), args.frame_seconds, args.entity, args.key, target=args.target
+    )
+    # The features are there already.
+    save_tables({name: df for name, df in report.items() if name != "precurseurs"}, args.target)
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from faultline.operators.thresholds import major_events
 from faultline.columns import COLUMNS, Columns
+from faultline.functions.ordering import total_before
+from faultline.session import stage
 
 
 def peak_windows(major: DataFrame, width: str = "30 minutes", cols: Columns = COLUMNS) -> DataFrame:
@@ -53,11 +55,16 @@ def major_event_hours(
     df: DataFrame, threshold: DataFrame, entity: str | None = None, cols: Columns = COLUMNS
 ) -> DataFrame:
     """Major events per hour of day; with `entity`, each against its own threshold."""
+    return hours_of(major_events(df, threshold, entity, cols), entity, cols)
+
+
+def hours_of(
+    major: DataFrame, entity: str | None = None, cols: Columns = COLUMNS
+) -> DataFrame:
+    """Major events per hour of day (and entity)."""
     keys = [entity] if entity else []
-    return (
-        major_events(df, threshold, entity, cols)
-        .groupBy(*keys, F.hour(cols.time).alias("heure"))
-        .agg(cols.count().alias("nombre_evenements"))
+    return major.groupBy(*keys, F.hour(cols.time).alias("heure")).agg(
+        cols.count().alias("nombre_evenements")
     )
 
 
@@ -93,16 +100,27 @@ def extremes(profile: DataFrame, column: str = "tension_moyenne", at: str = "heu
 def entity_ranking(df: DataFrame, entity: str = "ville", cols: Columns = COLUMNS) -> DataFrame:
     """Entities ranked by number of flagged readings and by largest value.
 
-    The ranks are taken over one row per entity.
+    Ranks are totals over the distinct figures, cut into ranges: no task sees all entities, and any
+    number of entities may share a figure.
     """
-    totals = df.groupBy(entity).agg(
-        cols.flagged().alias("nombre_secousses"), cols.value_max().alias("magnitude_max")
+    totals = stage(
+        df.groupBy(entity).agg(
+            cols.flagged().alias("nombre_secousses"), cols.value_max().alias("magnitude_max")
+        )
     )
-    by_count = Window.orderBy(F.desc("nombre_secousses"))
-    by_value = Window.orderBy(F.desc_nulls_last("magnitude_max"))
-    return totals.withColumns(
-        {"rang_frequence": F.rank().over(by_count), "rang_intensite": F.rank().over(by_value)}
+    ranked = _with_rank(totals, "nombre_secousses", "rang_frequence")
+    return _with_rank(ranked, "magnitude_max", "rang_intensite")
+
+
+def _with_rank(totals: DataFrame, figure: str, name: str) -> DataFrame:
+    """Add the rank by falling `figure`, nulls last; equal figures share a rank."""
+    each = totals.groupBy(F.col(figure).alias("_figure")).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.desc_nulls_last("_figure")]
+    ranks = total_before(each, order, F.col("_n"), "_before").select(
+        "_figure", (F.col("_before") + 1).cast("int").alias(name)
     )
+    joined = totals.join(ranks, totals[figure].eqNullSafe(ranks["_figure"]))
+    return joined.select(*totals.columns, name)
 
 
 def top_windows(

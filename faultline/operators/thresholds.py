@@ -8,13 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from faultline.columns import COLUMNS, Columns
-from faultline.session import attach, stage
+from faultline.functions.ordering import total_before
+from faultline.session import attach, estimated_bytes, stage
 
-# Bins per pass and entity: each pass narrows the search this many times.
-BINS = 65_536
+# Values in the sample that brackets a rank, and how many standard errors of the rank the bracket has
+# on either side.
+SAMPLE = 200_000
+ERRORS = 5
 
-# A power of two holds 2**52 doubles, so this many passes of `BINS` reach a single one.
-NARROWING = 4
+# Where the sample misses the rank: bins per pass and entity, and how many passes narrow the search
+# after the one by powers of two.
+BINS = 65_536
+NARROWING = 1
 
 
 def _octave(value: Column) -> Column:
@@ -38,14 +43,101 @@ def magnitude_threshold(
     ranks above infinity, and nothing lies above it.
 
     The value is exact. Sketches of all tasks would have to meet in one task, and a sort would
-    shuffle every value; instead the first pass counts values by sign and power of two, and later
-    ones in equal bins inside one of them (combined before the shuffle). Each keeps the bin that
-    holds the wanted rank; at most `NARROWING` passes follow the first, whatever the values are.
+    shuffle every value. Instead a bounded sample brackets the rank, and one scan counts the values
+    below the bracket and each value inside it (combined before the shuffle); the rank is then found
+    in these counts. If the bracket misses the rank of an entity, or the size of the input is not
+    known, one pass counts values by sign and power of two, the next ones in equal bins inside one of
+    them, and the bin takes the place of the bracket: two scans, or at most five.
     """
     keys = [entity] if entity else []
     values = df.filter(F.col(cols.value).isNotNull()).select(*keys, F.col(cols.value).alias("v"))
     if entity:
         values = values.filter(F.col(entity).isNotNull())
+    size = estimated_bytes(values)
+    counted = None
+    if size is not None:
+        # A value takes eight bytes, less where it is stored well; the sample is then the larger.
+        share = min(1.0, 8 * SAMPLE / max(size, 1))
+        counted = _counted(values, stage(_bracket(values.sample(share, seed=7), keys, q)), entity)
+    if counted is None or not _all_inside(counted, keys, q):
+        counted = _counted(values, _narrowed(values, entity, q), entity)
+    threshold = _at_rank(counted, keys, q)
+    if entity:
+        return threshold
+    # Empty input has one row too.
+    return threshold.agg(F.max("seuil_magnitude").alias("seuil_magnitude"))
+
+
+def _rank(q: float, total: str = "total") -> Column:
+    """In decimals: a product of doubles may land just above a whole rank."""
+    return F.greatest(F.ceil(F.lit(Decimal(str(q))) * F.col(total)), F.lit(1))
+
+
+def _bracket(sample: DataFrame, keys: list[str], q: float) -> DataFrame:
+    """Values below and above the rank, null where the sample has none so far out."""
+    whole = Window.partitionBy(*keys)
+    spread = ERRORS * F.sqrt(F.col("m") * (q * (1 - q))) + 1
+    return (
+        sample.withColumns(
+            {
+                "nth": F.row_number().over(whole.orderBy("v")),
+                "m": F.count("v").over(whole),
+            }
+        )
+        .groupBy(*keys)
+        .agg(
+            F.max(F.when(F.col("nth") <= F.col("m") * q - spread, F.col("v"))).alias("lo"),
+            F.min(F.when(F.col("nth") >= F.col("m") * q + spread, F.col("v"))).alias("hi"),
+        )
+    )
+
+
+def _counted(values: DataFrame, bracket: DataFrame, entity: str | None) -> DataFrame:
+    """How often each value inside the bracket occurs, and how many lie on its sides (-1 and 1)."""
+    side = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
+    sided = attach(values, bracket, entity).withColumn("side", side)
+    keys = [entity] if entity else []
+    return stage(
+        sided.groupBy(*keys, "side", F.when(F.col("side") == 0, F.col("v")).alias("v")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+    )
+
+
+def _all_inside(counted: DataFrame, keys: list[str], q: float) -> bool:
+    """Whether the bracket of every entity holds its rank."""
+    sums = counted.groupBy(*keys).agg(
+        F.sum("n").alias("total"),
+        F.sum(F.when(F.col("side") < 0, F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("inside"),
+    )
+    rank = _rank(q)
+    return sums.filter((rank <= F.col("below")) | (rank > F.col("below") + F.col("inside"))).isEmpty()
+
+
+def _at_rank(counted: DataFrame, keys: list[str], q: float) -> DataFrame:
+    """The value at the rank, by running totals over the counts: in a window where they are few, else
+    over ranges of the values."""
+    order, n = [F.col("side"), F.col("v")], F.col("n")
+    if counted.limit(BINS + 1).count() <= BINS:
+        whole = Window.partitionBy(*keys)
+        ranked = counted.withColumns(
+            {"upto": F.sum("n").over(whole.orderBy(*order)), "total": F.sum("n").over(whole)}
+        )
+    else:
+        # Entities follow each other, so an entity's totals begin where those before it end.
+        placed = stage(total_before(counted, [*(F.col(key) for key in keys), *order], n, "before"))
+        sums = placed.groupBy(*keys).agg(F.min("before").alias("start"), F.sum("n").alias("total"))
+        joined = attach(placed, stage(sums), keys[0] if keys else None)
+        ranked = joined.withColumn("upto", F.col("before") - F.col("start") + n)
+    rank = _rank(q)
+    found = ranked.filter((F.col("upto") >= rank) & (F.col("upto") - n < rank))
+    return found.select(*keys, F.col("v").alias("seuil_magnitude"))
+
+
+def _narrowed(values: DataFrame, entity: str | None, q: float) -> DataFrame:
+    """The bin that holds the rank: `lo` and `hi`, per entity."""
+    keys = [entity] if entity else []
 
     def keep_bin(binned: DataFrame, rank: Column) -> DataFrame:
         """The bin that holds the rank, and the rank inside it; at most `BINS` + 1 rows per entity
@@ -64,9 +156,7 @@ def magnitude_threshold(
             *keys, (F.col("rang") - (F.col("upto") - F.col("n"))).alias("rang"), "lo", "hi"
         )
 
-    # In decimals: a product of doubles may land just above a whole rank.
-    wanted = F.greatest(F.ceil(F.lit(Decimal(str(q))) * F.col("total")), F.lit(1))
-    found = stage(keep_bin(values.withColumn("bin", _octave(F.col("v"))), wanted))
+    found = stage(keep_bin(values.withColumn("bin", _octave(F.col("v"))), _rank(q)))
     for _ in range(NARROWING):
         if found.filter("lo < hi").isEmpty():
             break
@@ -78,11 +168,7 @@ def magnitude_threshold(
             ))
         )
         found = stage(keep_bin(binned, F.col("rang")))
-    threshold = found.select(*keys, F.col("lo").alias("seuil_magnitude"))
-    if entity:
-        return threshold
-    # Empty input has one row too.
-    return threshold.agg(F.max("seuil_magnitude").alias("seuil_magnitude"))
+    return found.select(*keys, "lo", "hi")
 
 
 def mark_major(

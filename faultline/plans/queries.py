@@ -216,11 +216,11 @@ def _features(
     )
 
 
-def _marked_features(spark: SparkSession, sf_dir: str, entity: str | None) -> DataFrame:
+def _conditions(spark: SparkSession, sf_dir: str, entity: str | None) -> DataFrame:
     readings = event_readings(spark, sf_dir)
     threshold = thresholds.magnitude_threshold(readings, entity=entity)
     marked = thresholds.mark_major(readings, threshold, entity)
-    return precursors.precursor_features(marked, entity=entity, key=EVENT_KEY, previous=False)
+    return comparable(precursors.conditions_before(marked, entity=entity))
 
 
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,14 +239,12 @@ def precursor_features_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def precursor_conditions_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(precursors.precursor_conditions(_marked_features(spark, sf_dir, None)))
+    return _conditions(spark, sf_dir, None)
 
 
 @query
 def precursor_conditions_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _marked_features(spark, sf_dir, EVENT_ENTITY)
-    entities = _entities(spark, sf_dir)
-    return comparable(precursors.precursor_conditions(features, EVENT_ENTITY, entities))
+    return _conditions(spark, sf_dir, EVENT_ENTITY)
 
 
 @query

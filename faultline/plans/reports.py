@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from faultline.operators.correlate import correlation_pairs, describe_columns
-from faultline.operators.peaks import critical_windows, major_event_hours, peak_windows
+from faultline.operators.peaks import critical_windows, hours_of, peak_windows
 from faultline.operators.precursors import (
     precursor_conditions,
     precursor_features,
@@ -15,6 +15,7 @@ from faultline.operators.rollups import hour_profile, stress_trend, window_stats
 from faultline.operators.thresholds import magnitude_threshold, mark_major
 from faultline.columns import COLUMNS, PANES, Columns, pane_sums
 from faultline.session import stage_table
+from faultline.sources import readers, sinks
 
 
 def aggregation_report(
@@ -51,18 +52,23 @@ def precursor_report(
     entity: str | None = None,
     key: str | None = None,
     ordered: bool = False,
+    target: str | None = None,
     cols: Columns = COLUMNS,
 ) -> dict[str, DataFrame]:
     """What came before the major events; with `entity`, for every entity in the same plans.
 
-    Each entity then has its own threshold and its own trailing frames. The features are written
-    once to the shared folder, and all results read the columns they need from there.
+    Each entity then has its own threshold and its own trailing frames. The features are written once,
+    to the folder `target` if there is one (as `sinks.save_tables` would) and else to the shared folder;
+    all results read the columns they need from there.
     """
     threshold = magnitude_threshold(df, entity=entity, cols=cols)
     marked = mark_major(df, threshold, entity, cols)
-    features = stage_table(
-        precursor_features(marked, frame_seconds, entity, key, cols=cols), "features"
-    )
+    features = precursor_features(marked, frame_seconds, entity, key, cols=cols)
+    if target:
+        path = sinks.save_tables({"precurseurs": features}, target)["precurseurs"]
+        features = readers.read_parquet(df.sparkSession, path, features.schema)
+    else:
+        features = stage_table(features, "features")
     sequences = tremor_sequences(features, entity, cols)
     keys = [entity] if entity else []
     # The features are stored, so this reads one of their columns.
@@ -75,7 +81,7 @@ def precursor_report(
         "sequences": (sequences, [*keys, cols.time]),
         "statistiques": (statistics, [*keys, "colonne"]),
         "correlations": (correlation_pairs(sequences, entity=entity), [*keys, "gauche", "droite"]),
-        "heures_majeures": (major_event_hours(df, threshold, entity, cols), [*keys, "heure"]),
+        "heures_majeures": (hours_of(features.filter("majeur"), entity, cols), [*keys, "heure"]),
     }
     return {name: _sorted(df, order) if ordered and order else df for name, (df, order) in tables.items()}
 

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A keyed side is broadcast only when it was counted and has at most this many rows. The rows are
-# one key and a few numbers, so this stays in the low tens of megabytes.
+# A keyed side is broadcast only when it was measured: at most this many rows and bytes.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 32_000_000
 
 
 def build_session(app: str = "faultline", master: str | None = None, **conf: object) -> SparkSession:
@@ -58,19 +59,45 @@ def stage_table(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def attach(df: DataFrame, small: DataFrame, entity: str | None = None) -> DataFrame:
+def _wide(df: DataFrame) -> Column:
+    """Bytes of a row: texts and arrays by their length, other columns by eight."""
+    parts = [F.lit(8 * len(df.columns))]
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(name), F.lit(0)))
+        elif kind.startswith("array"):
+            parts.append(8 * F.coalesce(F.size(name), F.lit(0)))
+    return sum(parts[1:], parts[0])
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether `df`, which should be stored, is small enough to be sent to every executor."""
+    rows = df.limit(MAX_BROADCAST_ROWS + 1)
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(_wide(df)), F.lit(0))).first()
+    return n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """What the optimizer expects `df` to hold; none where it knows no size."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 2**60 else None
+
+
+def attach(
+    df: DataFrame, small: DataFrame, entity: str | Sequence[str] | None = None
+) -> DataFrame:
     """Add the columns of `small` to every row of `df`: one row overall, or one row per entity.
 
     The one-row form is a scalar subquery; a comparison with a single column reaches the scan as a
-    literal. The keyed form is broadcast only after counting; beyond the limit it is an ordinary
-    join, where adaptive execution splits skewed partitions. Rows of an entity that `small` lacks
-    stay, with nulls.
+    literal. The keyed form (one key or several) is broadcast only after it was measured; beyond the
+    limits it is an ordinary join, where adaptive execution splits skewed partitions. Rows of a key
+    that `small` lacks stay, with nulls.
     """
     if entity is None and len(small.columns) == 1:
         return df.withColumn(small.columns[0], small.scalar())
     if entity is None:
         row = small.select(F.struct(*small.columns).alias("_row")).scalar()
         return df.withColumn("_row", row).select(*df.columns, "_row.*")
-    if small.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+    if fits_broadcast(small):
         small = F.broadcast(small)
-    return df.join(small, entity, "left")
+    return df.join(small, entity if isinstance(entity, str) else list(entity), "left")

@@ -10,7 +10,7 @@ from faultline.operators.precursors import precursor_features
 from faultline.operators.thresholds import magnitude_threshold, mark_major
 from faultline.plans.inputs import event_readings
 from faultline.plans.queries import comparable
-from helpers import collect, readings
+from helpers import at, collect, readings
 
 DERIVED = [
     "magnitude_precedente",
@@ -135,3 +135,57 @@ def test_filter_runs_below_the_join(spark, sf_dir):
     plan = executed(features)
     assert "Window [lag" not in plan
     assert "event_id" in plan and "user_id" not in plan
+
+
+def test_random_64_bit_keys_are_cut_at_their_quantiles(spark, monkeypatch):
+    """One second of 40,000 readings whose keys are random, in one dense cluster, and repeated."""
+    from faultline.operators import precursors
+
+    monkeypatch.setattr(precursors, "KEY_SLICE", 1000)
+    stored = []
+    stage_table = precursors.stage_table
+    monkeypatch.setattr(precursors, "stage_table", lambda df, name: stored.append((name, stage_table(df, name))) or stored[-1][1])
+    rng = random.Random(8)
+    keys = [rng.randrange(-(2**63), 2**63) for _ in range(20_000)] + [2**62 + i for i in range(20_000)]
+    rows = [(key, at(7 if i % 10 else i), "a", True, float(i), 1.0) for i, key in enumerate(keys)]
+    df = spark.createDataFrame(rows, "event_id long, date timestamp_ntz, ville string, secousse boolean, magnitude double, tension_entre_plaque double").repartition(8)
+    got = precursor_features(df, key="event_id")
+    assert rounded(got) == rounded(plain(df))
+    sizes = dict(stored)["slices"].groupBy("_second", "_slice", "_part").count().collect()
+    assert 30 <= len(sizes) <= 60 and max(r["count"] for r in sizes) < 2500
+
+
+def test_equal_keyless_readings_of_a_second_are_divided(spark, monkeypatch):
+    from faultline.operators import precursors
+
+    monkeypatch.setattr(precursors, "KEY_SLICE", 5000)
+    stored = []
+    stage_table = precursors.stage_table
+    monkeypatch.setattr(precursors, "stage_table", lambda df, name: stored.append((name, stage_table(df, name))) or stored[-1][1])
+    same = spark.range(0, 100_000, numPartitions=16).selectExpr(
+        "timestamp_ntz'2024-01-01 00:00:07' AS date", "'a' AS ville", "true AS secousse", "2.5D AS magnitude", "1.5D AS tension_entre_plaque"
+    )
+    others = readings(spark, [(3, "a", True, 9.0, 1.0), (7, "a", False, 4.0, 1.0), (8, "a", True, 5.0, 2.0)]).drop("event_id")
+    rows = precursor_features(same.unionByName(others)).groupBy("magnitude", "magnitude_precedente").count().collect()
+    found = {(r[0], r[1]): r[2] for r in rows}
+    assert sum(found.values()) == 100_003 and found[2.5, 2.5] == 99_999
+    assert found[9.0, None] == 1 and (5.0, 2.5) in found or (5.0, 4.0) in found
+    sizes = dict(stored)["slices"].groupBy("_slice", "_part").count().collect()
+    assert len(sizes) <= 40 and max(r["count"] for r in sizes) <= 7000
+
+
+@pytest.mark.parametrize("entity", [None, "ville"])
+def test_conditions_by_second_equal_those_of_the_readings(spark, entity):
+    from faultline.operators.precursors import conditions_before, precursor_conditions
+
+    df = noisy(spark, 400, 50_000, seed=11)
+    marked = mark_major(df, magnitude_threshold(df, 0.7, entity), entity)
+    features = precursor_features(marked, entity=entity, previous=False)
+    expected = precursor_conditions(features, entity, df.select(entity) if entity else None)
+    got = conditions_before(marked, entity=entity)
+    order = [entity] if entity else []
+    assert collect(comparable(got.select(expected.columns)), *order) == collect(comparable(expected), *order)
+    # The one join attaches the thresholds.
+    assert executed(got).count("Join") == (1 if entity else 0)
+    empty = conditions_before(marked.limit(0), entity=entity).collect()
+    assert [r["nombre_evenements_majeurs"] for r in empty] == ([] if entity else [0])

@@ -108,3 +108,57 @@ def test_beyond_the_broadcast_limit_the_join_is_the_same(spark, monkeypatch):
     assert "ResolvedHint" not in marked._jdf.queryExecution().analyzed().toString()
     assert collect(marked, "event_id") == small
     assert collect(magnitude_threshold(df, entity="ville"), "ville") == collect(threshold, "ville")
+
+
+def stored(spark, df, tmp_path):
+    df.write.parquet(str(tmp_path / "stored"))
+    return spark.read.parquet(str(tmp_path / "stored"))
+
+
+def scans(monkeypatch):
+    """The passes over the values: every one ends in a stored result."""
+    from faultline.operators import thresholds
+
+    passes, stage = [], thresholds.stage
+    monkeypatch.setattr(thresholds, "stage", lambda df: passes.append(1) or stage(df))
+    return passes
+
+
+@pytest.mark.parametrize("kind", ["uniform", "mostly_zero", "outlier", "close", "scales", "constant"])
+@pytest.mark.parametrize("sample", [400, 200_000])
+def test_a_sample_brackets_the_rank_in_two_scans(spark, tmp_path, monkeypatch, kind, sample):
+    monkeypatch.setattr("faultline.operators.thresholds.SAMPLE", sample)
+    rng = random.Random(kind)
+    values = spread(kind, 3000, rng)
+    df = stored(spark, readings(spark, [(0, "ab"[i % 2], True, v, 1.0) for i, v in enumerate(values)]), tmp_path)
+    passes = scans(monkeypatch)
+    for q in (0.1, 0.9):
+        passes.clear()
+        assert collect(magnitude_threshold(df, q)) == [(brute(values, q),)]
+        assert len(passes) == 2
+        got = dict(collect(magnitude_threshold(df, q, "ville")))
+        assert got == {e: brute(values[i::2], q) for i, e in enumerate("ab")}
+
+
+def test_a_bracket_that_misses_the_rank_takes_at_most_five_scans(spark, tmp_path, monkeypatch):
+    narrow = spark.createDataFrame([(0.5, 0.6)], "lo double, hi double")
+    monkeypatch.setattr("faultline.operators.thresholds._bracket", lambda sample, keys, q: narrow)
+    values = [10.0 ** (-300 + i) for i in range(600)] + [math.inf, math.nan] * 5 + [-math.inf]
+    df = stored(spark, readings(spark, [(0, "a", True, v, 1.0) for v in values]), tmp_path)
+    passes = scans(monkeypatch)
+    ordered = sorted(values, key=lambda v: (math.isnan(v), 0 if math.isnan(v) else v))
+    for q in (0.001, 0.5, 0.985):
+        passes.clear()
+        expected = ordered[max(math.ceil(q * len(ordered)), 1) - 1]
+        assert collect(magnitude_threshold(df, q)) == [(expected,)]
+        assert 2 < len(passes) <= 5
+
+
+def test_many_values_inside_the_bracket_are_ranked_by_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("faultline.operators.thresholds.BINS", 20)
+    rng = random.Random(9)
+    rows = [(0, e, True, round(rng.random(), 3), 1.0) for e in "abc" for _ in range(700)]
+    df = stored(spark, readings(spark, rows), tmp_path)
+    got = dict(collect(magnitude_threshold(df, 0.9, "ville")))
+    assert got == {e: brute([r[3] for r in rows if r[1] == e], 0.9) for e in "abc"}
+    assert collect(magnitude_threshold(df, 0.2)) == [(brute([r[3] for r in rows], 0.2),)]
