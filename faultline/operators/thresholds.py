@@ -58,10 +58,14 @@ def magnitude_threshold(
     if size is not None:
         # A value takes eight bytes, less where it is stored well; the sample is then the larger.
         share = min(1.0, 8 * SAMPLE / max(size, 1))
-        counted = _counted(values, stage(_bracket(values.sample(share, seed=7), keys, q)), entity)
-    if counted is None or not _all_inside(counted, keys, q):
+        bracket = _bracket(values.sample(share, seed=7), keys, q)
+        # Without entities it is a scalar subquery of the scan that counts.
+        counted = _counted(values, stage(bracket) if entity else bracket, entity)
+        inside, rows = _found(counted, keys, q)
+    if counted is None or not inside:
         counted = _counted(values, _narrowed(values, entity, q), entity)
-    threshold = _at_rank(counted, keys, q)
+        rows = counted.limit(BINS + 1).count()
+    threshold = _at_rank(counted, keys, q, rows <= BINS)
     if entity:
         return threshold
     # Empty input has one row too.
@@ -104,22 +108,25 @@ def _counted(values: DataFrame, bracket: DataFrame, entity: str | None) -> DataF
     )
 
 
-def _all_inside(counted: DataFrame, keys: list[str], q: float) -> bool:
-    """Whether the bracket of every entity holds its rank."""
+def _found(counted: DataFrame, keys: list[str], q: float) -> tuple[bool, int]:
+    """Whether the bracket of every entity holds its rank, and the number of counts."""
     sums = counted.groupBy(*keys).agg(
         F.sum("n").alias("total"),
         F.sum(F.when(F.col("side") < 0, F.col("n")).otherwise(0)).alias("below"),
         F.sum(F.when(F.col("side") == 0, F.col("n")).otherwise(0)).alias("inside"),
+        F.count(F.lit(1)).alias("rows"),
     )
     rank = _rank(q)
-    return sums.filter((rank <= F.col("below")) | (rank > F.col("below") + F.col("inside"))).isEmpty()
+    outside = (rank <= F.col("below")) | (rank > F.col("below") + F.col("inside"))
+    missed, rows = sums.agg(F.count_if(outside), F.sum("rows")).first()
+    return not missed, rows or 0
 
 
-def _at_rank(counted: DataFrame, keys: list[str], q: float) -> DataFrame:
+def _at_rank(counted: DataFrame, keys: list[str], q: float, few: bool) -> DataFrame:
     """The value at the rank, by running totals over the counts: in a window where they are few, else
     over ranges of the values."""
     order, n = [F.col("side"), F.col("v")], F.col("n")
-    if counted.limit(BINS + 1).count() <= BINS:
+    if few:
         whole = Window.partitionBy(*keys)
         ranked = counted.withColumns(
             {"upto": F.sum("n").over(whole.orderBy(*order)), "total": F.sum("n").over(whole)}
