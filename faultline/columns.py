@@ -104,7 +104,11 @@ STREAM_COLUMNS = Columns(time="event_time")
 
 
 def pane_sums(
-    df: DataFrame, width: str, keys: Sequence[str] = (), cols: Columns = COLUMNS
+    df: DataFrame,
+    width: str,
+    keys: Sequence[str] = (),
+    cols: Columns = COLUMNS,
+    extra: Sequence[Column] = (),
 ) -> DataFrame:
     """Sums of the readings per pane of time (and keys); readings without a time share a null pane.
 
@@ -113,8 +117,14 @@ def pane_sums(
     """
     seconds = F.unix_timestamp(cols.time)
     start = F.timestamp_seconds(seconds - F.pmod(seconds, F.lit(duration_seconds(width))))
+    pane = start.cast(df.schema[cols.time].dataType).alias("pane")
+    return df.groupBy(*keys, pane).agg(*reading_sums(cols), *extra)
+
+
+def reading_sums(cols: Columns = COLUMNS) -> list[Column]:
+    """What panes and windows keep of their readings: figures that can be added up further."""
     flagged_stress = F.when(F.col(cols.flag), F.col(cols.stress))
-    return df.groupBy(*keys, start.cast(df.schema[cols.time].dataType).alias("pane")).agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.count_if(cols.flag).alias("flags"),
         F.sum(cols.value).alias("value_sum"),
@@ -128,4 +138,30 @@ def pane_sums(
         F.min(cols.stress).alias("stress_min"),
         F.sum(flagged_stress).alias("flagged_stress_sum"),
         F.count(flagged_stress).alias("flagged_stress_n"),
-    )
+    ]
+
+
+# Sums that go on adding up; the others are extremes and the exact sum.
+ADDED = [
+    "n",
+    "flags",
+    "value_sum",
+    "value_n",
+    "stress_sum",
+    "stress_n",
+    "flagged_stress_sum",
+    "flagged_stress_n",
+]
+
+
+def merged_sums() -> list[Column]:
+    """The sums of several panes or windows together."""
+    known = F.when(F.col("stress_exact").isNotNull(), F.col("stress_exact_n"))
+    return [
+        *(F.sum(name).alias(name) for name in ADDED),
+        F.max("value_max").alias("value_max"),
+        F.max("stress_max").alias("stress_max"),
+        F.min("stress_min").alias("stress_min"),
+        F.try_sum("stress_exact").alias("stress_exact"),
+        F.coalesce(F.sum(known), F.lit(0)).alias("stress_exact_n"),
+    ]

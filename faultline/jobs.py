@@ -13,11 +13,14 @@ from __future__ import annotations
 import argparse
 import sys
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from faultline.operators.clean import clean_readings, rejects
+from faultline.operators.risk import alerts_of_sums
 from faultline.operators.rollups import hourly_stats
+from faultline.plans.daily import TABLES, publish_days
 from faultline.plans.reports import aggregation_report, precursor_report
 from faultline.schemas import (
     CLEAN_CITY_READINGS,
@@ -27,8 +30,8 @@ from faultline.schemas import (
 )
 from faultline.session import build_session
 from faultline.sources.readers import read_csv, read_parquet, read_stream
-from faultline.sources.sinks import save_tables, write_csv, write_parquet
-from faultline.streaming import alerts, messages
+from faultline.sources.sinks import save_tables, write_csv, write_days, write_parquet
+from faultline.streaming import alerts, messages, repair
 
 
 def options(pairs: Sequence[str]) -> dict[str, str]:
@@ -67,20 +70,78 @@ def precursors(spark: SparkSession, args: argparse.Namespace) -> None:
     save_tables({name: df for name, df in report.items() if name != "precurseurs"}, args.target)
 
 
+def publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    """A table by day, from readings that `land` has stored by day; all days, or some again."""
+    days = [date.fromisoformat(day) if day else None for day in (args.first, args.last)]
+    publish_days(
+        spark, args.source, args.target, args.table, *days, args.frame_seconds, args.entity
+    )
+
+
+def land(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Cleaned readings to folders by day; days that arrive again are replaced."""
+    write_days(cleaned(spark, args), args.target, "date")
+
+
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Cleaned readings to messages."""
+    """Cleaned readings to messages: at once, or with `--files-per-trigger` as a stream."""
+    to = options(args.option)
+    if args.files_per_trigger:
+        schema = read_parquet(spark, args.source).schema
+        messages.replay_paced(
+            spark, args.source, schema, args.checkpoint, args.format, to, args.laps,
+            args.lap_seconds, args.files_per_trigger, args.every,
+        )
+        return
     sent = messages.encode_messages(cleaned(spark, args), args.laps, args.lap_seconds)
-    messages.write_messages(sent, args.format, options(args.option))
+    messages.write_messages(sent, args.format, to)
 
 
 def watch(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Messages to alerts, until stopped (or, with `--once`, until all present ones are read)."""
+    """Messages to alerts, until stopped (or, with `--once`, until all present ones are read).
+
+    Sinks of messages get a JSON text per alert. `--table` also stores the alerts, from the same stream;
+    `--rejects` stores the messages that could not be read, and `--ledger` the sums of every message
+    for `repair`.
+    """
     source = read_stream(spark, args.source_format, options(args.source_option))
-    stream = alerts.risk_stream(messages.parse_messages(source), args.watermark, args.width, args.slide)
+    parsed = messages.parse_messages(source)
+    stream = alerts.risk_stream(parsed, args.watermark, args.width, args.slide)
     trigger = {"availableNow": True} if args.once else None
-    alerts.start(
-        stream, args.format, args.checkpoint, args.mode, trigger, options(args.option)
-    ).awaitTermination()
+    to, started = options(args.option), []
+    if args.table:
+        started.append(alerts.start_feed(
+            stream, args.table, args.checkpoint, args.format, to, args.mode, trigger
+        ))
+    else:
+        encoded = alerts.encode_alerts(stream) if args.format in ("kafka", "text") else stream
+        started.append(alerts.start(encoded, args.format, args.checkpoint, args.mode, trigger, to))
+    if args.rejects:
+        started.append(alerts.start(
+            messages.reject_messages(source), "text", f"{args.rejects}-state", "append", trigger,
+            {"path": args.rejects},
+        ))
+    if args.ledger:
+        windows = repair.published_windows(parsed, args.watermark, args.width, args.slide)
+        started.append(alerts.start(
+            windows, "parquet", f"{args.ledger}/windows-state", "append", trigger,
+            {"path": f"{args.ledger}/windows"},
+        ))
+        started.append(repair.start_ledger(
+            parsed, f"{args.ledger}/panes", f"{args.ledger}/panes-state", args.slide, trigger
+        ))
+    for query in started:
+        query.awaitTermination()
+
+
+def mend(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Alerts of all closed windows with their late messages, from what `watch --ledger` has stored."""
+    empty = messages.parse_messages(spark.createDataFrame([], "value string"))
+    published = read_parquet(spark, f"{args.source}/windows")
+    ledger = repair.read_ledger(spark, f"{args.source}/panes", empty, args.slide)
+    closed = repair.closed_until(ledger, args.watermark)
+    late = repair.late_sums(published, ledger, closed, args.width, args.slide)
+    write_parquet(alerts_of_sums(repair.repaired(published, late)), args.target)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -109,7 +170,17 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--entity")
     sub.add_argument("--key")
     sub.add_argument("--frame-seconds", type=int, default=3600)
+    job(land)
+    sub = job(publish)
+    sub.add_argument("--table", choices=list(TABLES), required=True)
+    sub.add_argument("--first")
+    sub.add_argument("--last")
+    sub.add_argument("--entity")
+    sub.add_argument("--frame-seconds", type=int, default=3600)
     sub = job(replay, target=False)
+    sub.add_argument("--files-per-trigger", type=int)
+    sub.add_argument("--every")
+    sub.add_argument("--checkpoint")
     sub.add_argument("--format", default="kafka")
     sub.add_argument("--option", action="append", default=[])
     sub.add_argument("--laps", type=int, default=1)
@@ -121,10 +192,15 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--option", action="append", default=[])
     sub.add_argument("--mode", choices=["append", "update", "complete"], default="append")
     sub.add_argument("--checkpoint")
-    sub.add_argument("--watermark", default="10 minutes")
-    sub.add_argument("--width", default="5 minutes")
-    sub.add_argument("--slide", default="1 minute")
+    sub.add_argument("--table")
+    sub.add_argument("--rejects")
+    sub.add_argument("--ledger")
     sub.add_argument("--once", action="store_true")
+    windows = [sub, job(mend)]
+    for sub in windows:
+        sub.add_argument("--watermark", default="10 minutes")
+        sub.add_argument("--width", default="5 minutes")
+        sub.add_argument("--slide", default="1 minute")
     return top
 
 

@@ -64,13 +64,17 @@ def sliding_stats(
     """
     if not df.isStreaming and duration_seconds(width) % duration_seconds(slide) == 0:
         df, cols = pane_sums(df, slide, cols=cols), PANES
-    return df.groupBy(F.window(cols.time, width, slide)).agg(
+    return df.groupBy(F.window(cols.time, width, slide)).agg(*_statistics(cols))
+
+
+def _statistics(cols: Columns) -> list[Column]:
+    return [
         cols.stress_mean_exact().alias("tension_avg"),
         cols.stress_max().alias("tension_max"),
         cols.stress_min().alias("tension_min"),
         cols.flagged().alias("nb_secousses"),
         cols.value_max().alias("max_magnitude"),
-    )
+    ]
 
 
 def risk_level(stats: DataFrame, rules: RiskRules = RULES) -> DataFrame:
@@ -130,6 +134,12 @@ def risk_alerts(
     return alerts.select(*ALERT_COLUMNS)
 
 
+def alerts_of_sums(sums: DataFrame, rules: RiskRules = RULES) -> DataFrame:
+    """The same from sums that were kept per `window`, one row or several."""
+    stats = sums.groupBy("window").agg(*_statistics(PANES))
+    return alert_message(risk_level(stats, rules)).select(*ALERT_COLUMNS)
+
+
 def false_positives(alerts: DataFrame) -> DataFrame:
     """Windows above the normal level that hold no tremor."""
     return alerts.filter((F.col("risk_level") != NORMAL) & (F.col("nb_secousses") == 0))

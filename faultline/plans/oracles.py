@@ -422,3 +422,12 @@ for suffix, stats in (("global", "sequence_stats"), ("entity", "sequence_stats_e
     ORACLES[f"report_sequence_stats_{suffix}"] = ORACLES[stats]
     ORACLES[f"report_correlations_{suffix}"] = f"SELECT * FROM ({pairs}) WHERE abs(correlation) > 0.3"
     ORACLES[f"report_major_hours_{suffix}"] = ORACLES[hours]
+
+# Streams and tables that are stored in parts give what one computation over all readings gives.
+ORACLES["stream_complete_alerts"] = ORACLES["risk_alerts"]
+ORACLES["stream_late_repair"] = ORACLES["risk_alerts"]
+ORACLES["paced_replay"] = ORACLES["replayed_laps"]
+ORACLES["published_days"] = ORACLES["hourly_stats"]
+ORACLES["published_day_frames"] = f"""SELECT * EXCLUDE (magnitude_precedente, tension_precedente)
+FROM ({ORACLES["precursor_features_global"]})"""
+ORACLES["external_csv_general"] = f"SELECT * EXCLUDE (ville) FROM ({ORACLES['external_csv_table']})"

@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.functions.timeparts import flatten_window
 from faultline.operators import clean, correlate, peaks, precursors, risk, rollups, thresholds
+from faultline.plans.daily import publish_days
 from faultline.plans.inputs import EVENT_ENTITY, EVENT_KEY, event_readings, event_texts
 from faultline.plans.reports import aggregation_report, precursor_report
-from faultline.schemas import CITY_READINGS_TABLE, HOURLY_STATS_TABLE, RAW_CITY_READINGS
+from faultline.schemas import (
+    CITY_READINGS_TABLE,
+    HOURLY_STATS_TABLE,
+    RAW_CITY_READINGS,
+    RAW_READINGS,
+    READINGS_TABLE,
+)
 from faultline.session import scratch_dir
 from faultline.sources import catalog, readers, sinks
-from faultline.streaming import alerts, messages
+from faultline.streaming import alerts, messages, repair, upserts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +84,15 @@ def external_csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def external_csv_general(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without cities."""
+    path = scratch_dir(spark, "csv-general")
+    sinks.write_csv(event_texts(spark, sf_dir).select(*RAW_READINGS.names), path)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    return comparable(clean.clean_readings(catalog.external_csv(spark, table, path, READINGS_TABLE)))
+
+
 @query
 def external_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly statistics published as Parquet and read through an external table."""
@@ -418,3 +436,92 @@ def stream_risk_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         options={"path": f"{base}/alerts"},
     ).awaitTermination()
     return comparable(readers.read_parquet(spark, f"{base}/alerts", stream.schema))
+
+
+@query
+def stream_complete_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert stream in complete mode, each batch stored under its number; the last one counts."""
+    base = scratch_dir(spark, "stream-complete")
+    sent = messages.encode_messages(event_readings(spark, sf_dir))
+    messages.write_messages(sent, "text", {"path": f"{base}/messages"})
+    source = readers.read_stream(spark, "text", {"path": f"{base}/messages"})
+    stream = flatten_window(alerts.risk_stream(messages.parse_messages(source)))
+    upserts.start_upserts(
+        stream, f"{base}/alerts", f"{base}/checkpoint", "complete", {"availableNow": True}
+    ).awaitTermination()
+    keys = ["window_start", "window_end"]
+    return comparable(upserts.read_upserts(spark, f"{base}/alerts", stream.schema, keys))
+
+
+@query
+def stream_late_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All flagged readings arrive after the watermark has closed their windows, and are added to what the
+    stream has published: the alerts of the batch."""
+    base = scratch_dir(spark, "stream-late")
+    readings = event_readings(spark, sf_dir)
+    flagged = F.coalesce(F.col("secousse"), F.lit(False))
+    closing = messages.closing_message(readings, after_seconds=3600)
+
+    def arrive(sent: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Write messages, let both streams read them, and return what they have stored so far."""
+        messages.write_messages(sent, "text", {"path": f"{base}/messages"})
+        source = readers.read_stream(spark, "text", {"path": f"{base}/messages"})
+        parsed = messages.parse_messages(source)
+        windows = repair.published_windows(parsed)
+        now = {"availableNow": True}
+        alerts.start(
+            windows, "parquet", f"{base}/windows-state", "append", now, {"path": f"{base}/windows"}
+        ).awaitTermination()
+        repair.start_ledger(
+            parsed, f"{base}/ledger", f"{base}/ledger-state", trigger=now
+        ).awaitTermination()
+        published = readers.read_parquet(spark, f"{base}/windows", windows.schema)
+        return published, repair.read_ledger(spark, f"{base}/ledger", parsed)
+
+    arrive(messages.encode_messages(readings.filter(~flagged)).unionAll(closing))
+    published, ledger = arrive(messages.encode_messages(readings.filter(flagged)))
+    late = repair.late_sums(published, ledger, repair.closed_until(ledger))
+    found = risk.alerts_of_sums(repair.repaired(published, late))
+    return comparable(flatten_window(found))
+
+
+@query
+def paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two laps as in `replayed_laps`, sent as streams of some files per trigger."""
+    base = scratch_dir(spark, "paced-replay")
+    readings = event_readings(spark, sf_dir)
+    sinks.write_parquet(readings.repartition(4, "event_id"), f"{base}/readings")
+    messages.replay_paced(
+        spark, f"{base}/readings", readings.schema, f"{base}/checkpoint", "text",
+        {"path": f"{base}/messages"}, laps=2, lap_seconds=60 * 86_400, files_per_trigger=2,
+    )
+    laps = (spark.read.text(messages.lap_folder(f"{base}/messages", lap)) for lap in range(2))
+    sent = reduce(DataFrame.unionAll, laps)
+    received = messages.parse_messages(sent).withColumnRenamed("event_time", "date")
+    return comparable(rollups.hourly_stats(received))
+
+
+@query
+def published_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics published by day; every second week is then computed once more by itself."""
+    base = scratch_dir(spark, "days")
+    sinks.write_days(event_readings(spark, sf_dir), f"{base}/readings", "date")
+    publish_days(spark, f"{base}/readings", f"{base}/hours", "horaire")
+    first, last = spark.read.parquet(f"{base}/hours").agg(F.min("jour"), F.max("jour")).first()
+    for start in range(7, (last - first).days + 1 if first else 0, 14):
+        span = first + timedelta(days=start), first + timedelta(days=start + 6)
+        publish_days(spark, f"{base}/readings", f"{base}/hours", "horaire", *span)
+    return comparable(readers.read_parquet(spark, f"{base}/hours").drop("jour", "debut"))
+
+
+@query
+def published_day_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing frames of every reading published by day, the last day by a run of its own that looks back
+    over one frame."""
+    base = scratch_dir(spark, "day-frames")
+    sinks.write_days(event_readings(spark, sf_dir), f"{base}/readings", "date")
+    publish_days(spark, f"{base}/readings", f"{base}/frames", "precurseurs")
+    last = spark.read.parquet(f"{base}/frames").agg(F.max("jour")).first()[0]
+    if last:
+        publish_days(spark, f"{base}/readings", f"{base}/frames", "precurseurs", last, last)
+    return comparable(readers.read_parquet(spark, f"{base}/frames").drop("jour", "debut"))

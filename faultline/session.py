@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 32_000_000
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app: str = "faultline", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the operators expect; `conf` uses `__` for the dots in names."""
@@ -24,6 +26,9 @@ def build_session(app: str = "faultline", master: str | None = None, **conf: obj
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # State of streams on disk, and of each batch only its changes in the checkpoint.
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     settings.update({name.replace("__", "."): str(value) for name, value in conf.items()})
     for name, value in settings.items():

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from faultline.sources.sinks import DAY
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """CSV files with a header line. The schema is given, so no pass over the data infers it.
@@ -21,6 +25,29 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+def read_days(
+    spark: SparkSession,
+    path: str,
+    first: date | None = None,
+    last: date | None = None,
+    look_back_seconds: int = 0,
+    time: str = "date",
+    day: str = DAY,
+) -> DataFrame:
+    """Rows published by day, from the `first` to the `last` day, both included; rows of the
+    `look_back_seconds` before come along, for frames that reach back.
+
+    Only the folders of these days are listed and read.
+    """
+    rows = spark.read.parquet(path)
+    if first:
+        start = datetime.combine(first, datetime.min.time()) - timedelta(seconds=look_back_seconds)
+        rows = rows.filter((F.col(day) >= start.date()) & (F.col(time) >= F.lit(start)))
+    if last:
+        rows = rows.filter(F.col(day) <= last)
+    return rows.drop(day)
+
+
 def read_stream(
     spark: SparkSession,
     fmt: str = "kafka",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +16,18 @@ CORRUPT = "_corrupt_record"
 
 
 def encode_messages(
-    df: DataFrame, laps: int = 1, lap_seconds: int = 0, cols: Columns = COLUMNS
+    df: DataFrame,
+    laps: int = 1,
+    lap_seconds: int = 0,
+    cols: Columns = COLUMNS,
+    later_seconds: int = 0,
 ) -> DataFrame:
-    """One JSON text per reading, in `value`; times are written to the second.
+    """One JSON text per reading, in `value`; times are written to the second, `later_seconds` later.
 
     With several laps every reading is sent once per lap, each lap `lap_seconds` after the one
     before, so that a replay adds new windows instead of counting the old ones again.
     """
-    time = F.col(cols.time)
+    time = F.col(cols.time) + F.make_dt_interval(secs=F.lit(later_seconds))
     if laps > 1:
         df = df.withColumn("_lap", F.explode(F.sequence(F.lit(0), F.lit(laps - 1))))
         time = time + F.make_dt_interval(secs=F.col("_lap") * F.lit(lap_seconds))
@@ -46,6 +50,50 @@ def write_messages(
     messages.write.format(fmt).options(**(options or {})).mode(mode).save()
 
 
+def lap_folder(path: str, lap: int) -> str:
+    return f"{path.rstrip('/')}/lap={lap}"
+
+
+def replay_paced(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    checkpoint: str,
+    fmt: str = "kafka",
+    options: Mapping[str, str] | None = None,
+    laps: int = 1,
+    lap_seconds: int = 0,
+    files_per_trigger: int = 1,
+    every: str | None = None,
+    cols: Columns = COLUMNS,
+) -> None:
+    """Send stored readings (Parquet) as a stream, some files per trigger, `every` so often.
+
+    A lap is one stream over all files, each lap `lap_seconds` after the one before. Every lap has a
+    checkpoint of its own: a replay that was stopped goes on in the lap and at the file where it was.
+    Where `options` has a `path`, a lap has a folder of its own there (`lap_folder`), whose log tells
+    which files count.
+    """
+    for lap in range(laps):
+        to = dict(options or {})
+        if "path" in to:
+            to["path"] = lap_folder(to["path"], lap)
+        source = (
+            spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", files_per_trigger)
+            .parquet(path)
+        )
+        sent = encode_messages(source, cols=cols, later_seconds=lap * lap_seconds)
+        writer = sent.writeStream.format(fmt).options(**to)
+        writer = writer.option("checkpointLocation", lap_folder(checkpoint, lap))
+        if not every:
+            writer.trigger(availableNow=True).start().awaitTermination()
+            continue
+        query = writer.trigger(processingTime=every).start()
+        query.processAllAvailable()
+        query.stop()
+
+
 def _decoded(messages: DataFrame, schema: T.StructType) -> DataFrame:
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col("value").cast("string")

@@ -7,12 +7,12 @@ import uuid
 import pytest
 
 from faultline.functions.timeparts import flatten_window
-from faultline.operators.risk import risk_alerts
+from faultline.operators.risk import alerts_of_sums, risk_alerts
 from faultline.plans.inputs import event_readings
 from faultline.plans.queries import comparable
 from faultline.columns import STREAM_COLUMNS
 from faultline.sources.readers import read_stream
-from faultline.streaming import alerts, messages
+from faultline.streaming import alerts, messages, repair, upserts
 from helpers import collect, readings
 
 
@@ -136,3 +136,93 @@ def test_a_restarted_stream_goes_on_from_its_checkpoint(spark, tmp_path):
             flatten_window(stream), "parquet", checkpoint, trigger={"availableNow": True}, options={"path": out}
         ).awaitTermination()
     assert [r["nb_secousses"] for r in spark.read.parquet(out).collect()] == [3]
+
+
+def test_a_stream_stopped_mid_way_gives_the_uninterrupted_result(spark, tmp_path):
+    """State is kept by RocksDB with changelogs; three runs over four batches, one of which is cut off
+    before it was committed and runs again, give what one run gives."""
+    times = [("00:00:10", "00:00:20"), ("00:00:30", "00:07:00"), ("00:07:10", "00:21:00"), ("00:21:30", "02:00:00")]
+
+    def go(folder, out, checkpoint):
+        source = read_stream(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"})
+        stream = flatten_window(alerts.risk_stream(messages.parse_messages(source), slide="5 minutes"))
+        upserts.start_upserts(stream, out, checkpoint, "update", {"availableNow": True}).awaitTermination()
+        return collect(upserts.read_upserts(spark, out, stream.schema, ["window_start", "window_end"]), "window_start")
+
+    for order, some in enumerate(times):
+        message_file(tmp_path / "whole", order, *some)
+    expected = go(tmp_path / "whole", str(tmp_path / "once"), str(tmp_path / "cp1"))
+    found = None
+    for order, some in enumerate(times):
+        message_file(tmp_path / "parts", order, *some)
+        if order in (0, 2, 3):
+            found = go(tmp_path / "parts", str(tmp_path / "parted"), str(tmp_path / "cp2"))
+        if order == 2:
+            # As after a crash: the last batch was stored, but its end was not noted.
+            commits = sorted((tmp_path / "cp2/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+            commits[-1].unlink()
+            (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert found == expected and sum(r[4] for r in found) == 8
+    assert (tmp_path / "cp2/state/0/0").is_dir()
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    schema = spark.createDataFrame([(1, "a")], "k int, v string").schema
+    path = str(tmp_path / "rows")
+    batches = [[(1, "a"), (2, "b")], [(2, "c"), (3, "d")], [(1, "e")]]
+
+    def write(number):
+        folder = upserts.batch_folder(path, number)
+        spark.createDataFrame(batches[number], schema).write.mode("overwrite").parquet(folder)
+
+    for number in (0, 1, 2, 2, 1):
+        write(number)
+    assert collect(upserts.read_upserts(spark, path, schema, ["k"]), "k") == [(1, "e"), (2, "c"), (3, "d")]
+
+
+def test_late_messages_are_added_to_published_windows(spark, tmp_path):
+    """On time, late for a published window, late for a window that had none, and not yet closed."""
+    folder = tmp_path / "in"
+    for i, some in enumerate([("00:00:30", "02:00:00"), ("03:00:00",), ("00:00:40", "00:30:00", "02:59:00"), ("04:00:00",)]):
+        message_file(folder, i, *some)
+
+    def run_both(one_by_one):
+        base = tmp_path / str(one_by_one)
+        limit = {"maxFilesPerTrigger": "1"} if one_by_one else {}
+        source = messages.parse_messages(read_stream(spark, "text", {"path": str(folder), **limit}))
+        # The published windows are always cut by file.
+        cut = messages.parse_messages(read_stream(spark, "text", {"path": str(folder), "maxFilesPerTrigger": "1"}))
+        windows, now = repair.published_windows(cut), {"availableNow": True}
+        alerts.start(windows, "parquet", f"{base}/wcp", "append", now, {"path": f"{base}/w"}).awaitTermination()
+        repair.start_ledger(source, f"{base}/l", f"{base}/lcp", trigger=now).awaitTermination()
+        published = spark.read.schema(windows.schema).parquet(f"{base}/w")
+        ledger = repair.read_ledger(spark, f"{base}/l", source)
+        late = repair.late_sums(published, ledger, repair.closed_until(ledger))
+        return published, late, alerts_of_sums(repair.repaired(published, late))
+
+    text = spark.read.text(str(folder))
+    batch = flatten_window(risk_alerts(messages.parse_messages(text), cols=STREAM_COLUMNS))
+    closed = batch.filter("window_end <= '2024-01-01 03:50:00'")
+    for one_by_one in (True, False):
+        published, late, found = run_both(one_by_one)
+        assert collect(comparable(flatten_window(found)), "window_start") == collect(comparable(closed), "window_start")
+        starts = {r[0].strftime("%H:%M"): r[1] for r in late.select("window.start", "n").collect()}
+        assert starts["00:00"] == 1 and starts["00:30"] == 1 and published.count() < found.count()
+
+
+def test_one_stream_feeds_the_table_and_the_messages(spark, tmp_path):
+    message_file(tmp_path / "in", 0, "00:00:30", "00:01:10")
+    message_file(tmp_path / "in", 1, "02:00:00")
+    (tmp_path / "in" / "2.txt").write_text("no json")
+    source = read_stream(spark, "text", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"})
+    stream = alerts.risk_stream(messages.parse_messages(source))
+    alerts.start_feed(
+        stream, str(tmp_path / "table"), str(tmp_path / "cp"), "text", {"path": str(tmp_path / "out")}, "append",
+        {"availableNow": True},
+    ).awaitTermination()
+    table = upserts.read_upserts(spark, str(tmp_path / "table"), stream.schema, ["window"])
+    sent = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).select("value").collect()]
+    assert len(sent) == table.count() == 6
+    expected = {(r.window.start.strftime("%Y-%m-%d %H:%M:%S"), r.nb_secousses, r.alert_message) for r in table.collect()}
+    assert {(x["window_start"], x["nb_secousses"], x["alert_message"]) for x in sent} == expected
