@@ -9,8 +9,9 @@ from faultline.llm.quality import (
     KEPT_SHARE,
     LEAST_WORDS,
     LINE_DOCUMENTS,
-    LINE_SHARE,
+    LONG_LINE,
     MOST_REPEATED_PERCENT,
+    SHORT_LINE_DOCUMENTS,
     SYMBOLS,
 )
 
@@ -65,11 +66,8 @@ shapes AS (
   )
 ),
 common AS (
-  SELECT host, shape FROM shapes JOIN (
-    SELECT host, count(DISTINCT text) AS documents FROM shapes GROUP BY host
-  ) USING (host)
-  GROUP BY host, shape, documents
-  HAVING count(*) > {LINE_DOCUMENTS} AND count(*) > {LINE_SHARE}::DOUBLE * documents
+  SELECT host, shape FROM shapes GROUP BY host, shape, words
+  HAVING count(*) > CASE WHEN words >= {LONG_LINE} THEN {LINE_DOCUMENTS} ELSE {SHORT_LINE_DOCUMENTS} END
 ),
 left_over AS (
   SELECT host, text, sum(words) AS line_words,

@@ -2,9 +2,8 @@
 
 Lines are normalised and hashed, and the distinct documents that hold a line are counted per host.
 Copies of one text count as one document, so that a text is not taken for boilerplate because it was
-stored twice. Lines of several words beyond the number of documents are removed, whatever the size of
-their host; shorter ones must also pass a share of its documents. Documents that lose too much are
-rejected.
+stored twice. Lines beyond a number of documents are removed, whatever the size of their host; lines of
+few words have a higher limit. Documents that lose too much are rejected.
 """
 
 from __future__ import annotations
@@ -21,10 +20,10 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 WINDOW = 5
 
-# A line goes if more than this many documents of its host hold it. One of fewer than `LONG_LINE` words,
-# which authors may write alike by chance, goes only if more than this share of them hold it as well.
+# A line goes if more than this many documents of its host hold it; one of fewer than `LONG_LINE` words,
+# which authors may write alike by chance, beyond a higher limit.
 LINE_DOCUMENTS = 10
-LINE_SHARE = 0.1
+SHORT_LINE_DOCUMENTS = 100
 LONG_LINE = 5
 # A document is depleted if its lines keep a smaller share of their words, or too few words.
 KEPT_SHARE = 0.3
@@ -111,7 +110,10 @@ def normalised_lines(text: Column) -> Column:
 
 
 def repeated_lines(
-    docs: DataFrame, host: str, documents: int = LINE_DOCUMENTS, share: float = LINE_SHARE
+    docs: DataFrame,
+    host: str,
+    documents: int = LINE_DOCUMENTS,
+    short_documents: int = SHORT_LINE_DOCUMENTS,
 ) -> DataFrame:
     """Per host and distinct text: words in its distinct lines, and those in lines beyond the limits.
 
@@ -124,14 +126,11 @@ def repeated_lines(
     )
     # One row per host, text and line: copies of a text meet before the shuffle where they can.
     rows = texts.select("_host", "_text", "_line.line", "_line.words").distinct()
-    hosts = rows.groupBy("_host").agg(F.count_distinct("_text").alias("_documents"))
     common = (
         rows.groupBy("_host", "line")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("words").alias("_words"))
-        .filter(F.col("_n") > documents)
-        .join(hosts, "_host")
         .filter(
-            (F.col("_words") >= LONG_LINE) | (F.col("_n") > F.lit(share) * F.col("_documents"))
+            F.col("_n") > F.when(F.col("_words") >= LONG_LINE, documents).otherwise(short_documents)
         )
         .select("_host", "line", F.lit(True).alias("_common"))
     )
@@ -151,7 +150,7 @@ def judge(
     docs: DataFrame,
     host: str = "source",
     documents: int = LINE_DOCUMENTS,
-    share: float = LINE_SHARE,
+    short_documents: int = SHORT_LINE_DOCUMENTS,
     kept_share: float = KEPT_SHARE,
 ) -> DataFrame:
     """Base metrics and the verdict of every document, one row per input row.
@@ -168,7 +167,7 @@ def judge(
             {"_host": key, "_text": F.xxhash64(F.coalesce(F.col("text"), F.lit("")))}
         )
     ).drop("text", "host")
-    lines = repeated_lines(rows, "host", documents, share)
+    lines = repeated_lines(rows, "host", documents, short_documents)
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
