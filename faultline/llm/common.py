@@ -149,13 +149,25 @@ def gather(offsets: np.ndarray, flat: np.ndarray, codes: np.ndarray) -> np.ndarr
 
 
 def offsets_of(sizes: Iterable[int]) -> np.ndarray:
-    return np.concatenate(([0], np.cumsum(np.fromiter(sizes, np.int64))))
+    if not isinstance(sizes, np.ndarray):
+        sizes = np.fromiter(sizes, np.int64)
+    return np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, content: Column, digest: str) -> DataFrame:
-    """One row of `docs` for each pair of `doc_id` and content digest in `kept`."""
-    marked = docs.withColumn("_content", content)
-    wanted = kept.select(F.col("doc_id").alias("_id"), F.col(digest).alias("_wanted"))
-    same = marked["doc_id"].eqNullSafe(wanted["_id"]) & (marked["_content"] == wanted["_wanted"])
+    """One row of `docs` for each pair of `doc_id` and content digest in `kept`; all columns stay as they
+    are, whatever their names."""
+    marked = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), content.alias("content")
+    )
+    wanted = kept.select(F.col("doc_id").alias("id"), F.col(digest).alias("content"))
+    same = marked["id"].eqNullSafe(wanted["id"]) & (marked["content"] == wanted["content"])
     found = marked.join(wanted, same, "left_semi")
-    return found.dropDuplicates(["doc_id", "_content"]).select(*docs.columns)
+    return found.dropDuplicates(["id", "content"]).select("row.*")
+
+
+def new_prefix(df: DataFrame, prefix: str) -> str:
+    """`prefix`, with more underscores if a column of `df` already begins with it."""
+    while any(name.lower().startswith(prefix.lower()) for name in df.columns):
+        prefix = f"_{prefix}"
+    return prefix

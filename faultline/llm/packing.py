@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import os
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import batched
@@ -26,7 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import coded_words, gather, offsets_of, portions, ranked, staged
+from faultline.llm.common import (
+    arrow_portions,
+    coded_words,
+    gather,
+    offsets_of,
+    ranked,
+    release_memory,
+    staged,
+)
 
 CAPACITY = 4096
 QUANTUM = 8
@@ -35,13 +44,15 @@ END_ID = 2
 # The linear program may stay above its bound by this share.
 GAP = 1e-3
 
-# Words whose ids a Python worker remembers: as many again from before the last renewal.
-CACHE_WORDS = 100_000
-CACHE_CHARS = 40
+# Words whose ids a Python worker remembers, as columns: some tens of megabytes.
+CACHE_WORDS = 400_000
+CACHE_BYTES = 40
 # Words in one line for the tokenizer, and lines that it is given at a time: what it returns takes
 # about a hundred bytes per token.
 LINE_WORDS = 500
 LINES = 20
+# Characters of texts that are split at a time.
+SPLIT_CHARS = 4_000_000
 # Fixed value: how the vocabulary marks the end of a word.
 WORD_END = "</w>"
 
@@ -55,7 +66,10 @@ Pattern = dict[int, int]
 
 
 class WordIds:
-    """The ids of words by a tokenizer that drops white space and never merges across it."""
+    """The ids of words by a tokenizer that drops white space and never merges across it.
+
+    Known words are one column of texts and one of ids, which Arrow searches as a whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,35 +81,75 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def of(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, as unsigned 32-bit numbers."""
-        found = [self.recent.get(w) or self.older.get(w) for w in words]
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        # Words of letters alone are one pre-token each, so many of them are encoded as one text.
-        # Some letters fall apart when lower-cased; a line with one of them has too many ends.
-        letters = [i for i in missing if words[i].isalpha()]
-        others = [i for i in missing if not words[i].isalpha()]
-        lines = [letters[i : i + LINE_WORDS] for i in range(0, len(letters), LINE_WORDS)]
-        batch = self._encode(" ".join(words[i] for i in line) for line in lines)
+        self.known = pa.array([], pa.large_string())
+        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words: where those of each start and end, and all of them."""
+        places = pc.index_in(words, self.known)
+        missing = places.is_null()
+        fresh = words.filter(missing)
+        sizes, ids = self._encoded(fresh)
+        start = len(self.known)
+        places = pc.fill_null(places, 0).to_numpy().astype(np.int64)
+        places[missing.to_numpy(zero_copy_only=False)] = start + np.arange(len(fresh))
+        every = offsets_of(np.concatenate((self.sizes, sizes)))
+        found = gather(every, np.concatenate((self.ids, ids)), places)
+        self._remember(words, fresh, sizes, ids)
+        return offsets_of(np.diff(every)[places]), found
+
+    def _remember(self, words: pa.Array, fresh: pa.Array, sizes: np.ndarray, ids: np.ndarray) -> None:
+        short = pc.less_equal(pc.binary_length(fresh), CACHE_BYTES).to_numpy(zero_copy_only=False)
+        if len(self.known) + len(fresh) > CACHE_WORDS:
+            # Of the words known before, those that are still in use.
+            used = pc.is_in(self.known, words).to_numpy(zero_copy_only=False)
+            if used.sum() + len(fresh) > CACHE_WORDS:
+                used[:] = False
+            self._keep(used)
+        offsets = offsets_of(sizes)
+        kept = np.flatnonzero(short)[:CACHE_WORDS]
+        self.known = pa.concat_arrays([self.known, fresh.take(pa.array(kept))])
+        self.ids = np.concatenate((self.ids, gather(offsets, ids, kept)))
+        self.sizes = np.concatenate((self.sizes, sizes[kept]))
+
+    def _keep(self, used: np.ndarray) -> None:
+        self.ids = gather(offsets_of(self.sizes), self.ids, np.flatnonzero(used))
+        self.known, self.sizes = self.known.filter(pa.array(used)), self.sizes[used]
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all ids in order.
+
+        Words of letters alone are one pre-token each, so many of them are encoded as one text. Some
+        letters fall apart when lower-cased; a line with one of them has too many ends, and its words
+        are encoded one by one.
+        """
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        single = [np.flatnonzero(~letters)]
+        plain = np.flatnonzero(letters)
+        texts = words.take(pa.array(plain)).to_pylist()
+        sizes = np.zeros(len(words), np.int64)
+        order, parts = [], []
+        lines = [slice(i, i + LINE_WORDS) for i in range(0, len(plain), LINE_WORDS)]
+        batch = self._encode(" ".join(texts[line]) for line in lines)
         for line, ids in zip(lines, batch, strict=True):
-            ends = [0, *(4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()]
-            if len(ends) != len(line) + 1:
-                others += line
+            places, ends = plain[line], np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(places):
+                single.append(places)
                 continue
-            held = ids.tobytes()
-            for i, start, end in zip(line, ends, ends[1:], strict=False):
-                found[i] = held[start:end]
-        for i, ids in zip(others, self._encode(words[i] for i in others), strict=True):
-            found[i] = ids.tobytes()
-        if len(self.recent) > CACHE_WORDS:
-            self.recent, self.older = {}, self.recent
-        self.recent.update(
-            (words[i], found[i]) for i in missing if len(words[i]) <= CACHE_CHARS
-        )
-        return found
+            sizes[places] = np.diff(ends, prepend=0)
+            order.append(places)
+            parts.append(ids[: ends[-1]])
+        single = np.concatenate(single)
+        alone = words.take(pa.array(single)).to_pylist()
+        for place, ids in zip(single.tolist(), self._encode(alone), strict=True):
+            sizes[place] = len(ids)
+            parts.append(ids)
+        # The ids are in the order of the lines; put them into that of the words.
+        order = np.concatenate([*order, single]).astype(np.int64)
+        back = np.empty(len(words), np.int64)
+        back[order] = np.arange(len(words))
+        flat = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+        return sizes, gather(offsets_of(sizes[order]), flat, back)
 
     def _encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         for some in batched(texts, LINES):
@@ -108,63 +162,93 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
-    """The ids of each text, encoding each distinct word once.
+def _tails(words: pa.Array, sizes: np.ndarray) -> pa.Array:
+    """The last `sizes` characters of each word, which take one byte each."""
+    words = words.cast(pa.large_string())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset :][1 : len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    ends = offsets_of(sizes)
+    places = np.arange(ends[-1]) + np.repeat(offsets - ends[1:], sizes)
+    return pa.LargeStringArray.from_buffers(
+        len(words), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[places])
+    )
+
+
+def token_ids(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts: where those of each start and end, and all of them in order.
 
-    A word of letters and marks after them is two parts, which are pre-tokens of their own; other
-    words are one part. A-Z are lower-cased here already, since the tokenizer does so too.
+    Each distinct word is encoded once. A word of letters and marks after them is two parts, which are
+    pre-tokens of their own; other words are one part. A-Z are lower-cased here already, since the
+    tokenizer does so too.
     """
     distinct, codes, ends = coded_words(texts)
     words = pa.array(distinct, pa.large_string())
     letters = pc.utf8_rtrim(words, ENDINGS)
     plain = pc.utf8_is_alpha(letters)
     heads = pc.ascii_lower(pc.if_else(plain, letters, words))
-    sizes = pc.utf8_length(pc.if_else(plain, letters, words)).to_numpy()
-    tails = [word[size:] for word, size in zip(distinct, sizes, strict=True)]
-    parts = pa.concat_arrays([heads, pa.array(tails, pa.large_string())]).dictionary_encode()
-    ids = _word_ids(path).of(parts.dictionary.to_pylist())
-    offsets = offsets_of(len(x) // 4 for x in ids)
-    flat = np.frombuffer(b"".join(ids), "<u4")
-    # Head and tail of each word, then the words of each text.
+    cut = (pc.binary_length(words).to_numpy() - pc.binary_length(letters).to_numpy()).astype(np.int64)
+    cut[~plain.to_numpy(zero_copy_only=False)] = 0
+    tails = _tails(words, cut)
+    parts = pa.concat_arrays([heads, tails]).dictionary_encode()
+    offsets, flat = _word_ids(path).of(parts.dictionary)
+    # Head and tail of each word, then the words of all texts.
     pairs = parts.indices.to_numpy().reshape(2, -1).T.ravel()
     of_pairs = gather(offsets, flat, pairs)
     lengths = np.diff(offsets)[pairs].reshape(-1, 2).sum(axis=1)
     of_words = offsets_of(lengths)
-    return [
-        gather(of_words, of_pairs, codes[start:end])
-        for start, end in zip(ends, ends[1:], strict=False)
-    ]
+    before = np.concatenate(([0], np.cumsum(lengths[codes])))
+    return before[ends], gather(of_words, of_pairs, codes)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    with_ids: bool = True,
+) -> DataFrame:
     """The ids of every document with an end id, in pieces of at most `capacity`.
 
-    Returns `doc_id, start, length, doc_tokens, ids` (little-endian unsigned 32-bit numbers). Null
-    and empty texts have the end id alone. Repeated rows give repeated pieces.
+    Returns `doc_id, start, length, doc_tokens, ids_crc32`, and `with_ids` the `ids` as well
+    (little-endian unsigned 32-bit numbers, of which `ids_crc32` is the checksum). Null and empty texts
+    have the end id alone. Repeated rows give repeated pieces.
     """
-    schema = T.StructType(
-        [
-            T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("start", T.LongType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("doc_tokens", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        end = np.asarray([end_id], "<u4")
-        for frame in portions(frames, "text"):
-            rows = []
-            texts = frame["text"].fillna("").tolist()
-            for doc_id, found in zip(frame["doc_id"], token_ids(texts, path), strict=True):
-                ids = np.concatenate((found, end))
-                for start in range(0, len(ids), capacity):
-                    piece = ids[start : start + capacity]
-                    rows.append((doc_id, start, len(piece), len(ids), piece.tobytes()))
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return docs.select("doc_id", "text").mapInPandas(cut, schema)
+    fields = [
+        T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        *(T.StructField(name, T.LongType()) for name in ("start", "length", "doc_tokens", "ids_crc32")),
+        *([T.StructField("ids", T.BinaryType())] if with_ids else []),
+    ]
+    schema = T.StructType(fields)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = np.asarray([end_id], "<u4").tobytes()
+        for batch in arrow_portions(batches, "text", SPLIT_CHARS):
+            ends, ids = token_ids(batch.column("text").fill_null("").to_pylist(), path)
+            held, bounds = memoryview(ids.astype("<u4").tobytes()), ends.tolist()
+            rows, starts, sizes, totals, sums, kept = [], [], [], [], [], []
+            for row, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                total = last - first + 1
+                for start in range(0, total, capacity):
+                    size = min(capacity, total - start)
+                    at = first + start
+                    piece = bytes(held[4 * at : 4 * min(at + size, last)])
+                    if at + size > last:
+                        piece += end
+                    rows.append(row)
+                    starts.append(start)
+                    sizes.append(size)
+                    totals.append(total)
+                    sums.append(zlib.crc32(piece))
+                    if with_ids:
+                        kept.append(piece)
+            numbers = [pa.array(column, pa.int64()) for column in (starts, sizes, totals, sums)]
+            columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *numbers]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, *([pa.array(kept, pa.binary())] if with_ids else [])], schema.names
+            )
+        release_memory()
+
+    return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
 # --- patterns -----------------------------------------------------------------------------------
@@ -332,12 +416,10 @@ def assign(sized: DataFrame, capacity: int = CAPACITY, quantum: int = QUANTUM) -
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Where every piece of every document lies.
 
-    Returns `doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`. The ids themselves
+    Returns `doc_id, start, length, doc_tokens, ids_crc32, sequence_id, offset`. The ids themselves
     are those of `pieces`, by `doc_id` and `start`. Null and empty texts are one piece of one id;
     repeated rows and rows without a `doc_id` are packed like others; an empty table gives no rows.
     Other columns are ignored.
     """
-    sized = pieces(docs, path, capacity).select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
-    )
+    sized = pieces(docs, path, capacity, with_ids=False)
     return assign(staged(sized, "pieces"), capacity)
