@@ -23,7 +23,7 @@ WINDOW = 5
 # A line goes if more than this many documents of its host hold it; one of fewer than `LONG_LINE` words,
 # which authors may write alike by chance, beyond a higher limit.
 LINE_DOCUMENTS = 10
-SHORT_LINE_DOCUMENTS = 100
+SHORT_LINE_DOCUMENTS = 20
 LONG_LINE = 5
 # A document is depleted if its lines keep a smaller share of their words, or too few words.
 KEPT_SHARE = 0.3
