@@ -1,12 +1,11 @@
 """Exact deduplication with a cuckoo-filter index of live digests.
 
-The index is divided into shards by digest. A shard holds a cuckoo filter of short fingerprints, and
-the stored keys behind it: the full digest of the content, the row that stays, and the number of live
-rows. A digest that the filter does not know is new without a look at the stored keys; a hit is
-verified against the stored keys of the whole shard, which are a map by digest. They are not stored by
-bucket, so the filter only saves lookups in a map that would give the answer alone. When a fingerprint finds no place,
-the filter is built again with twice the buckets from the stored keys. Deleting the last live row of
-a digest takes its fingerprint out of the filter.
+The index is divided into shards by digest. A shard holds a cuckoo filter of short fingerprints, and in
+the slot of each fingerprint the stored key behind it: the full digest of the content, the row that stays,
+and the number of live rows. A digest that the filter does not know is new without a look at the stored
+keys; a hit is verified against the keys in the slots of its two buckets, and nowhere else. A key moves
+with its fingerprint. When a fingerprint finds no place, the filter is built again with twice the buckets
+from the stored keys. Deleting the last live row of a digest empties its slot.
 
 Each insertion or deletion writes a new version of the index; a failed one leaves the old as it was.
 """
@@ -31,18 +30,23 @@ LEAST_BUCKETS = 64
 # Distinct digests that one task holds in memory, at about 200 bytes each.
 SHARD_KEYS = 200_000
 
-KEYS = "shard int, digest binary, keep_id long, keep_row long, live long"
+KEYS = "shard int, digest binary, keep_id long, keep_row long, live long, slot int"
 FILTERS = "shard int, buckets int, slots binary, stored long"
 
 
+# A stored key: digest, identifier and row that stay, and number of live rows.
+Key = list
+
+
 class CuckooFilter:
-    """Fingerprints of 16 bits in buckets of four; a digest may lie in either of two buckets."""
+    """Fingerprints of 16 bits in buckets of four, with what is stored behind each; a digest may lie in
+    either of two buckets."""
 
     def __init__(self, buckets: int = LEAST_BUCKETS, slots: bytes | None = None, stored: int = 0):
         self.buckets = buckets
-        self.slots = (
-            np.zeros(buckets * SLOTS, "<u2") if slots is None else np.frombuffer(slots, "<u2").copy()
-        )
+        marks = [0] * (buckets * SLOTS) if slots is None else np.frombuffer(slots, "<u2").tolist()
+        self.slots: list[int] = marks
+        self.held: list[Key | None] = [None] * len(marks)
         self.stored = stored
 
     def places(self, digest: bytes) -> tuple[int, int, int]:
@@ -55,112 +59,124 @@ class CuckooFilter:
         # `buckets` is a power of two, so this undoes itself.
         return bucket ^ (mark * 0x5BD1E995 % self.buckets)
 
-    def _find(self, mark: int, bucket: int) -> int | None:
-        start = bucket * SLOTS
-        for i in range(start, start + SLOTS):
-            if self.slots[i] == mark:
-                return i
-        return None
+    def _matching(self, digest: bytes) -> Iterator[int]:
+        """The slots with the fingerprint of a digest, in its two buckets."""
+        mark, first, second = self.places(digest)
+        for bucket in (first,) if first == second else (first, second):
+            for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
+                if self.slots[slot] == mark:
+                    yield slot
 
     def hit(self, digest: bytes) -> bool:
-        mark, first, second = self.places(digest)
-        return self._find(mark, first) is not None or self._find(mark, second) is not None
+        return any(True for _ in self._matching(digest))
+
+    def find(self, digest: bytes) -> int | None:
+        """The slot whose stored key is the digest: hits are compared in full."""
+        for slot in self._matching(digest):
+            key = self.held[slot]
+            if key is not None and key[0] == digest:
+                return slot
+        return None
 
-    def insert(self, digest: bytes) -> bool:
-        """False if there is no place; the filter must then be built anew from the stored keys."""
-        mark, first, second = self.places(digest)
-        bucket = first
-        for place in (first, second):
-            free = self._find(0, place)
+    def _free(self, bucket: int) -> int | None:
+        for slot in range(bucket * SLOTS, bucket * SLOTS + SLOTS):
+            if not self.slots[slot]:
+                return slot
+        return None
+
+    def insert(self, key: Key) -> Key | None:
+        """Store a key that is not there. The key that is left without a place, if one is: the filter must
+        then be built anew from the stored keys and this one."""
+        mark, first, second = self.places(key[0])
+        self.stored += 1
+        for bucket in (first, second):
+            free = self._free(bucket)
             if free is not None:
-                self.slots[free] = mark
-                self.stored += 1
-                return True
+                self.slots[free], self.held[free] = mark, key
+                return None
+        bucket = first
         for kick in range(MOST_KICKS):
-            victim = bucket * SLOTS + kick % SLOTS
-            mark, self.slots[victim] = int(self.slots[victim]), mark
+            slot = bucket * SLOTS + kick % SLOTS
+            mark, self.slots[slot] = self.slots[slot], mark
+            key, self.held[slot] = self.held[slot], key
             bucket = self._other(mark, bucket)
-            free = self._find(0, bucket)
+            free = self._free(bucket)
             if free is not None:
-                self.slots[free] = mark
-                self.stored += 1
-                return True
-        return False
+                self.slots[free], self.held[free] = mark, key
+                return None
+        self.stored -= 1
+        return key
 
-    def remove(self, digest: bytes) -> None:
-        """Take out one fingerprint of a digest that was inserted."""
-        mark, first, second = self.places(digest)
-        found = self._find(mark, first)
-        if found is None:
-            found = self._find(mark, second)
-        if found is not None:
-            self.slots[found] = 0
-            self.stored -= 1
+    def remove(self, slot: int) -> None:
+        self.slots[slot], self.held[slot] = 0, None
+        self.stored -= 1
+
+    def keys(self) -> list[tuple[int, Key]]:
+        """The stored keys with their slots."""
+        return [(slot, key) for slot, key in enumerate(self.held) if key is not None]
 
 
 class Shard:
-    """One shard while it is changed: the filter, and the stored keys by digest."""
+    """One shard while it is changed."""
 
     def __init__(self, keys: pd.DataFrame, filters: pd.DataFrame):
-        self.keys: dict[bytes, list] = {
-            digest: [keep, row, live]
-            for digest, keep, row, live in zip(
-                keys["digest"], keys["keep_id"], keys["keep_row"], keys["live"], strict=True
-            )
-        }
         if len(filters):
             f = filters.iloc[0]
             self.filter = CuckooFilter(int(f["buckets"]), f["slots"], int(f["stored"]))
         else:
             self.filter = CuckooFilter()
+        columns = [keys[name].tolist() for name in ("slot", "digest", "keep_id", "keep_row", "live")]
+        for slot, *key in zip(*columns, strict=True):
+            self.filter.held[int(slot)] = key
         self.resizes = 0
 
-    def stored(self, digest: bytes) -> list | None:
-        """The stored key of a digest: looked for only after a hit, and compared in full."""
-        return self.keys.get(digest) if self.filter.hit(digest) else None
-
     def insert(self, digest: bytes, keep: object, row: int, live: int) -> None:
-        known = self.stored(digest)
-        if known is not None:
-            if _before((keep, row), (known[0], known[1])):
-                known[0], known[1] = keep, row
-            known[2] += live
+        slot = self.filter.find(digest)
+        if slot is None:
+            homeless = self.filter.insert([digest, keep, row, live])
+            if homeless is not None:
+                self.grow(homeless)
             return
-        self.keys[digest] = [keep, row, live]
-        if not self.filter.insert(digest):
-            self.grow()
+        known = self.filter.held[slot]
+        if _before((keep, row), (known[1], known[2])):
+            known[1], known[2] = keep, row
+        known[3] += live
 
     def delete(self, digest: bytes, live: int) -> None:
-        known = self.stored(digest)
-        if known is None:
+        slot = self.filter.find(digest)
+        if slot is None:
             return
-        known[2] -= live
-        if known[2] <= 0:
-            del self.keys[digest]
-            self.filter.remove(digest)
-
-    def grow(self) -> None:
+        known = self.filter.held[slot]
+        known[3] -= live
+        if known[3] <= 0:
+            self.filter.remove(slot)
+
+    def grow(self, homeless: Key) -> None:
+        """Twice the buckets, or more, for all stored keys and one that found no place."""
+        keys = [*(key for _, key in self.filter.keys()), homeless]
         buckets = self.filter.buckets
         while True:
             buckets *= 2
             self.filter = CuckooFilter(buckets)
             self.resizes += 1
-            if all(self.filter.insert(digest) for digest in self.keys):
+            if all(self.filter.insert(key) is None for key in keys):
                 return
 
     def frame(self, shard: int) -> pd.DataFrame:
         """The keys as rows, and the filter as one row without a digest."""
-        n = len(self.keys)
-        values = list(self.keys.values())
+        held = self.filter.keys()
+        n = len(held)
+        slots = np.asarray(self.filter.slots, "<u2").tobytes()
         return pd.DataFrame(
             {
                 "shard": [shard] * (n + 1),
-                "digest": [*self.keys, None],
-                "keep_id": pd.array([*(v[0] for v in values), None], "Int64"),
-                "keep_row": pd.array([*(v[1] for v in values), None], "Int64"),
-                "live": pd.array([*(v[2] for v in values), None], "Int64"),
+                "digest": [*(key[0] for _, key in held), None],
+                "keep_id": pd.array([*(key[1] for _, key in held), None], "Int64"),
+                "keep_row": pd.array([*(key[2] for _, key in held), None], "Int64"),
+                "live": pd.array([*(key[3] for _, key in held), None], "Int64"),
+                "slot": pd.array([*(slot for slot, _ in held), None], "Int32"),
                 "buckets": pd.array([*[None] * n, self.filter.buckets], "Int32"),
-                "slots": [*[None] * n, self.filter.slots.tobytes()],
+                "slots": [*[None] * n, slots],
                 "stored": pd.array([*[None] * n, self.filter.stored], "Int64"),
             }
         )
