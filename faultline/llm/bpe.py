@@ -3,7 +3,8 @@
 1. Texts are cut into pre-tokens. Each portion of texts lists its distinct pre-tokens, and keeps its
    texts as positions in that list: a frequent pre-token counts once per portion.
 2. The lists are divided by a hash of the pre-token and shuffled, so that equal pre-tokens meet in one
-   task, which encodes each distinct one once, as long as a division has at most `MOST_KNOWN` of them.
+   task, which encodes each distinct one once. Beyond `BLOCK_PORTIONS` portions they meet by block of
+   portions, so that the work of a task, and what it remembers, do not grow with the corpus.
 3. The ids go back to their portions, where the texts are put together again by position.
 
 Decoding looks every id up in an array of token bytes (as many as the vocabulary has), in the task that
@@ -35,9 +36,11 @@ from faultline.llm.common import gather, offsets_of, release_memory, staged
 PORTION_BYTES = 16_000_000
 CUT_BYTES = 2_000_000
 
-# Pre-tokens are divided for the shuffle by a hash; a task remembers the distinct ones of a division.
+# Pre-tokens are divided for the shuffle by a hash, and portions by another into blocks of about so many
+# (4 GB of texts); the distinct pre-tokens of a division and block are remembered together.
 DIVISIONS = 128
-# So many distinct pre-tokens of a division are remembered at a time; more are looked up afresh.
+BLOCK_PORTIONS = 256
+# So many distinct pre-tokens of one are remembered at a time; more are looked up afresh.
 MOST_KNOWN = 500_000
 # Ranks that take one byte, and the byte that stands for the next pre-token that occurs only once.
 FREQUENT = 200
@@ -278,17 +281,17 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
         release_memory()
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The lists of a division follow each other, so only its words need to be remembered."""
+        """The lists of a division and block follow each other, so only its words are remembered."""
         ordinary = _encoding(path, pattern).encode_ordinary
         known: dict[bytes, bytes] = {}
         last = None
         for batch in batches:
             out = []
-            for division, blob in zip(
-                batch["division"].to_pylist(), batch["data"].to_pylist(), strict=True
+            for division, block, blob in zip(
+                *(batch[name].to_pylist() for name in ("division", "block", "data")), strict=True
             ):
-                if division != last or len(known) > MOST_KNOWN:
-                    last, known = division, {}
+                if (division, block) != last or len(known) > MOST_KNOWN:
+                    last, known = (division, block), {}
                 sizes, data = _unpack(blob)
                 ends = offsets_of(sizes).tolist()
                 found = []
@@ -335,11 +338,13 @@ def encode(docs: DataFrame, path: str, pattern: str, decoded: bool = False) -> D
         return pa.table(columns)
 
     parts = staged(docs.select("doc_id", "text").mapInArrow(split, schema), "bpe")
+    blocks = 1 + parts.filter("division IS NULL").count() // BLOCK_PORTIONS
     words = (
         parts.filter("division IS NOT NULL")
-        .select("division", "portion", "data")
-        .repartition("division")
-        .sortWithinPartitions("division")
+        .withColumn("block", F.pmod(F.xxhash64("portion"), F.lit(blocks)))
+        .select("division", "block", "portion", "data")
+        .repartition("division", "block")
+        .sortWithinPartitions("division", "block")
         .mapInArrow(encode_words, "portion long, division int, ids binary")
     )
     texts = parts.filter("division IS NULL").select("portion", "doc_ids", "data", "divisions")
