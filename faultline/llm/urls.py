@@ -1,12 +1,15 @@
 """URL filters: listed rules, and association rules mined from labelled URLs.
 
-FP-growth finds the combinations of URL tokens that go with the label `block`; rules of enough support
-and confidence are kept, without those that a shorter rule makes redundant. They match through an
-inverted index: each rule stands under its rarest token, and a URL looks up its tokens.
+Tokens that lie in exactly the same labelled URLs, such as the parts of one deep path, are one class to
+the miner. FP-growth finds the combinations of classes that go with the label `block`; rules of enough
+support and confidence are kept, without those that a shorter rule makes redundant. A URL fits a rule if
+it has a token of each of its classes. Rules match through an inverted index: each stands under its rarest
+class, and a URL looks up the classes of its tokens.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faultline.llm.common import ascii_lower, staged
+from faultline.session import attach
 
 BLOCK, ALLOW = "block", "allow"
 TARGET = "label:block"
@@ -81,27 +85,35 @@ def tokens(url: Column) -> Column:
 def mine(
     labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE
 ) -> DataFrame:
-    """Rules from rows of `url, block` (boolean): `tokens, confidence, support`.
+    """Rules from rows of `url, block` (boolean): `tokens, alike, confidence, support`.
 
-    A rule has at least the given share of all labelled rows (`LEAST_ROWS` of them at least), and of
+    `tokens` names the classes of a rule, `alike` lists the tokens of each. A rule has at least the given share of all labelled rows (`LEAST_ROWS` of them at least), and of
     the rows it fits. A rule that contains another of no less confidence is left out. Rows without
     a label are ignored.
     """
     rows = labelled.filter(F.col("block").isNotNull()).select(
-        F.concat(
-            tokens(F.col("url")),
-            F.when(F.col("block"), F.array(F.lit(TARGET))).otherwise(
-                F.array().cast("array<string>")
-            ),
-        ).alias("items")
+        tokens(F.col("url")).alias("tokens"), "block", F.monotonically_increasing_id().alias("row")
     )
-    rows = staged(rows.filter(F.size("items") > 0), "labelled-urls")
-    schema = "tokens array<string>, confidence double, support double"
+    rows = staged(rows.filter((F.size("tokens") > 0) | F.col("block")), "labelled-urls")
+    schema = "tokens array<string>, alike array<array<string>>, confidence double, support double"
     total = rows.count()
     if total < LEAST_ROWS:
         return rows.sparkSession.createDataFrame([], schema)
     least = max(support, LEAST_ROWS / total)
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(rows)
+    classes = staged(_classes(rows, math.ceil(least * total)), "token-classes")
+    # A class stands for its tokens in every row that has one of them, and so has all.
+    placed = attach(
+        rows.select("row", F.explode("tokens").alias("token")), classes.select("token", "class"), "token"
+    )
+    items = placed.filter(F.col("class").isNotNull()).groupBy("row")
+    sets = rows.select("row", "block").join(
+        items.agg(F.collect_set("class").alias("classes")), "row", "left"
+    )
+    target = F.when(F.col("block"), F.array(F.lit(TARGET))).otherwise(F.array().cast("array<string>"))
+    found = F.concat(F.coalesce("classes", F.array().cast("array<string>")), target)
+    # Rows without an item count in the total: the share is of all rows.
+    baskets = staged(sets.select(found.alias("items")), "baskets")
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(baskets)
     rules = staged(
         model.associationRules.filter(F.element_at("consequent", 1) == TARGET).select(
             F.array_sort("antecedent").alias("tokens"), "confidence", "support"
@@ -122,11 +134,44 @@ def mine(
         .filter(F.col("as_sure") >= F.col("confidence"))
         .select("tokens")
     )
-    return rules.join(redundant, "tokens", "left_anti")
+    members = classes.groupBy("class").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    kept = rules.join(redundant, "tokens", "left_anti")
+    named = kept.select("*", F.posexplode("tokens").alias("place", "class")).join(members, "class")
+    alike = F.array_sort(F.collect_list(F.struct("place", "members")))["members"].alias("alike")
+    return named.groupBy("tokens", "confidence", "support").agg(alike).select(
+        "tokens", "alike", "confidence", "support"
+    )
+
+
+def _classes(rows: DataFrame, least: int) -> DataFrame:
+    """`token, class` of the tokens in at least `least` rows: tokens of the same rows have the same class,
+    named by the first of them. Two hashes of the set of rows tell whether it is the same."""
+    each = rows.select("row", F.explode("tokens").alias("token"))
+    sums = (
+        each.groupBy("token")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("sum"),
+            F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("xor"),
+        )
+        .filter(F.col("n") >= least)
+    )
+    same = ["n", "sum", "xor"]
+    return sums.join(sums.groupBy(*same).agg(F.min("token").alias("class")), same)
 
 
 def match(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """The surest mined rule that fits each row of `page, tokens`: `page, matched`."""
+    class_of = rules.select(F.explode(F.arrays_zip("tokens", "alike")).alias("_")).select(
+        F.col("_.tokens").alias("class"), F.explode("_.alike").alias("token")
+    )
+    # The tokens of a page as far as rules know them, each by its class.
+    pages = (
+        pages.select("page", F.explode("tokens").alias("token"))
+        .join(class_of.distinct(), "token")
+        .groupBy("page")
+        .agg(F.collect_set("class").alias("tokens"))
+    )
     used = rules.select(F.explode("tokens").alias("token")).distinct()
     frequent = (
         pages.select(F.explode("tokens").alias("token"))
