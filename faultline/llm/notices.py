@@ -1,7 +1,7 @@
 """Templates of licenses beside the short notices in `licenses.NOTICES`, and what tells them apart.
 
-A family is a sentence that several licenses share but for their name and version. Bodies are known by
-their title, or by the sentences that only they have. `FAMILIES` names the notices of each family.
+A family is a sentence that several licenses share but for their name and version. Long bodies are known
+by their title, or by the sentences that only they have; short ones also as a whole. `FAMILIES` names the notices of each family.
 """
 
 from __future__ import annotations
@@ -131,6 +131,63 @@ _OTHERS = {
     "WTFPL": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE Version 2, December 2004",
 }
 
+# Whole texts without the lines of title, year and holder, which differ from copy to copy.
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2."
+)
+_BSD_DISCLAIMER = (
+    f"{_BSD_END} AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+    "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS "
+    "OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY "
+    "THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF "
+    "SUCH DAMAGE."
+)
+_ISC_DISCLAIMER = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+    "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+    "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+    "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE "
+    "OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+    "SOFTWARE."
+)
+_WHOLE = {
+    "MIT whole": "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+    "software and associated documentation files (the \"Software\"), to deal in the Software without "
+    "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+    "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+    "Software is furnished to do so, subject to the following conditions: "
+    f"{_OTHERS['MIT text']} IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+    "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+    "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD-2-Clause whole": f"{_BSD_START} {_BSD_BINARY} {_BSD_DISCLAIMER}",
+    "BSD-3-Clause whole": f"{_BSD_START} {_BSD_BINARY} 3. {_BSD_NAMES} {_BSD_DISCLAIMER}",
+    "ISC whole": f"{_OTHERS['ISC']} {_ISC_DISCLAIMER}",
+    "0BSD whole": "Permission to use, copy, modify, and/or distribute this software for any purpose with "
+    f"or without fee is hereby granted. {_ISC_DISCLAIMER}",
+    "Zlib whole": "This software is provided 'as-is', without any express or implied warranty. In no event "
+    "will the authors be held liable for any damages arising from the use of this software. "
+    f"{_OTHERS['Zlib']}: 1. The origin of this software must not be misrepresented; you must not claim "
+    "that you wrote the original software. If you use this software in a product, an acknowledgment in the "
+    "product documentation would be appreciated but is not required. 2. Altered source versions must be "
+    "plainly marked as such, and must not be misrepresented as being the original software. 3. This notice "
+    "may not be removed or altered from any source distribution.",
+    "Unlicense whole": f"{_OTHERS['Unlicense']}, either in source code form or as a compiled binary, for "
+    "any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright "
+    "laws, the author or authors of this software dedicate any and all copyright interest in the software "
+    "to the public domain. We make this dedication for the benefit of the public at large and to the "
+    "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment "
+    "in perpetuity of all present and future rights to this software under copyright law. "
+    + _OTHERS["MIT text"].partition("Software. ")[2]
+    + " IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+    "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+    "USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
+
 MORE_NOTICES = {
     **_GNU_SENTENCES,
     **_GNU_TITLES,
@@ -142,6 +199,7 @@ MORE_NOTICES = {
     **_EPL,
     **_BSD,
     **_OTHERS,
+    **_WHOLE,
 }
 
 FAMILIES = (
@@ -157,4 +215,6 @@ FAMILIES = (
     ("BSD-3-Clause", "BSD-4-Clause"),
     ("BSD-3-Clause unnumbered", "BSD-4-Clause unnumbered"),
     ("ISC", "0BSD"),
+    ("BSD-2-Clause whole", "BSD-3-Clause whole"),
+    ("ISC whole", "0BSD whole"),
 )
