@@ -13,11 +13,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import coded_words, gather, held_out, mix, offsets_of, portions
+from faultline.llm.common import (
+    arrow_portions,
+    coded_words,
+    gather,
+    held_out,
+    mix,
+    offsets_of,
+    portions,
+    release_memory,
+)
 
 # N-grams are hashed into this many buckets: the model has as many numbers per language.
 BUCKETS = 1 << 16
@@ -259,12 +269,14 @@ def predict(docs: DataFrame, model: Model, prefix: str = "", spans: bool = False
         span = "array<struct<start:int,words:int,lang:string>>"
         fields.append(T.StructField(names[2], T.DataType.fromDDL(span)))
     schema = T.StructType([*docs.schema.fields, *fields])
+    parts = [("start", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]
+    kinds = [pa.string(), pa.float64(), pa.list_(pa.struct(parts))][: len(names)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def label(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for frame in portions(frames, "text"):
-            words = Words(frame["text"].fillna("").tolist())
+        for batch in arrow_portions(batches, "text"):
+            words = Words(batch.column("text").fill_null("").to_pylist())
             rows = []
             sizes = words.sizes[words.codes]
             for start, path in zip(words.ends, model.label(words), strict=False):
@@ -285,10 +297,13 @@ def predict(docs: DataFrame, model: Model, prefix: str = "", spans: bool = False
                     ]
                 rows.append((model.languages[best], float(letters[best] / total), runs))
             columns = list(zip(*rows, strict=True))
-            added = dict(zip(names, columns, strict=False))
-            yield frame.assign(**{k: list(v) for k, v in added.items()})
+            added = [
+                pa.array(list(column), kind) for column, kind in zip(columns, kinds, strict=False)
+            ]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
+        release_memory()
 
-    return docs.mapInPandas(label, schema)
+    return docs.mapInArrow(label, schema)
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

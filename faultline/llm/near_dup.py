@@ -18,12 +18,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from faultline.llm.common import coded_words, mix, portions, staged
+from faultline.llm.common import (
+    NOT_BLANKS,
+    arrow_portions,
+    coded_words,
+    keep_rows,
+    mix,
+    portions,
+    release_memory,
+    staged,
+)
 from faultline.session import scratch_dir
 
 SHINGLE = 3
@@ -90,34 +100,41 @@ def band_keys(coordinates: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`doc_id, n_shingles, set, bands` per row: a digest of the set, and one key per band.
+    """`doc_id, content, n_shingles, set, bands` per row: a hash of the text, a digest of the set, and one
+    key per band.
 
     Without words, `set` is null and there are no bands.
     """
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("content", T.LongType()),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("set", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
     )
 
-    def compute(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in portions(frames, "text"):
-            sets = shingle_sets(frame["text"].fillna("").tolist(), width)
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"].to_numpy(),
-                    "n_shingles": [len(s) for s in sets],
-                    "set": [_digest(s) if len(s) else None for s in sets],
-                    "bands": [
-                        band_keys(sketch(s, bands * rows), bands) if len(s) else [] for s in sets
-                    ],
-                }
-            )
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_portions(batches, "text"):
+            sets = shingle_sets(batch.column("text").fill_null("").to_pylist(), width)
+            keys = [band_keys(sketch(s, bands * rows), bands) if len(s) else [] for s in sets]
+            columns = [
+                batch.column("doc_id"),
+                batch.column("content"),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+                pa.array(keys, pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+        release_memory()
+
+    return docs.select("doc_id", _content().alias("content"), "text").mapInArrow(compute, schema)
 
-    return docs.select("doc_id", "text").mapInPandas(compute, schema)
+
+def _content() -> Column:
+    """A hash that tells the texts of one `doc_id` apart."""
+    return F.xxhash64("text")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -189,6 +206,44 @@ def near_duplicates(
     Rows without a `doc_id` take part; a component of such rows alone has none. Repeated rows get
     the same result. Other columns are ignored.
     """
+    sketched, rooted = _rooted(docs, width, percent, bands, rows)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = rooted.join(least, "root").select("set", "component_id")
+    # A hot set is many rows on the left and one on the right, which a skew join can split.
+    alone = sketched.filter("set IS NULL").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+    )
+    return (
+        sketched.filter("set IS NOT NULL")
+        .join(found, "set")
+        .select("doc_id", "n_shingles", "component_id")
+        .unionAll(alone)
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    )
+
+
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, all its columns as they are: the one with the smallest `doc_id`, rows
+    without one last, then the smallest hash of its text. Of rows equal in both any stays. Rows
+    without words or text all stay."""
+    sketched, rooted = _rooted(docs, SHINGLE, percent, BANDS, ROWS)
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "content")).alias("one")
+    chosen = (
+        sketched.filter("set IS NOT NULL")
+        .join(rooted.select("set", "root"), "set")
+        .groupBy("root")
+        .agg(one)
+        .select("one.doc_id", "one.content")
+    )
+    wordless = F.col("text").isNull() | ~F.col("text").rlike(NOT_BLANKS)
+    grouped = keep_rows(docs, chosen, _content(), "content")
+    return grouped.unionAll(docs.filter(wordless))
+
+
+def _rooted(
+    docs: DataFrame, width: int, percent: int, bands: int, rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """The sketches, and the component of every set: `set, first, root`."""
     _checkpoint_dir(docs)
     sketched = staged(sketches(docs, width, bands, rows), "sketches")
     # Rows with the same set are one class; copies meet before the shuffle where they can.
@@ -197,6 +252,7 @@ def near_duplicates(
         .groupBy("set")
         .agg(
             F.min("doc_id").alias("first"),
+            F.min(F.struct("doc_id", "content")).alias("one"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
         )
@@ -220,12 +276,12 @@ def near_duplicates(
         "members",
     )
     involved = members.select("set").unionAll(members.select("hub")).distinct()
+    wanted = classes.join(involved, "set").select(
+        "set", F.col("one.doc_id").alias("_id"), F.col("one.content").alias("_content")
+    )
     texts = (
         docs.select("doc_id", "text")
-        .join(
-            classes.select("set", "first").join(involved, "set"),
-            F.col("doc_id").eqNullSafe(F.col("first")),
-        )
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (_content() == F.col("_content")))
         .select("set", "text")
     )
     sets = staged(_sets_of(texts, width).dropDuplicates(["set"]), "sets")
@@ -241,19 +297,7 @@ def near_duplicates(
     rooted = classes.select("set", "first").join(
         labels.withColumnRenamed("node", "set"), "set", "left"
     ).withColumn("root", F.coalesce("root", "set"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = rooted.join(least, "root").select("set", "component_id")
-    # A hot set is many rows on the left and one on the right, which a skew join can split.
-    alone = sketched.filter("set IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
-    )
-    return (
-        sketched.filter("set IS NOT NULL")
-        .join(found, "set")
-        .select("doc_id", "n_shingles", "component_id")
-        .unionAll(alone)
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    return sketched, rooted
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
@@ -275,11 +319,13 @@ def _open_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     No pair that is similar enough is lost, whatever the core is.
     """
-    groups = members.groupBy("hub").agg(
-        F.count(F.lit(1)).alias("size"),
+    # Counted per component first, so that no task holds all components of a hub.
+    parts = members.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("size"))
+    groups = parts.groupBy("hub").agg(
+        F.sum("size").alias("size"),
         F.min("root").alias("low"),
         F.max("root").alias("high"),
-        F.mode("root").alias("main"),
+        F.max(F.struct("size", "root"))["root"].alias("main"),
     )
     open_ = members.join(groups.filter("low != high").select("hub", "size", "main"), "hub")
     open_ = staged(open_, "open")

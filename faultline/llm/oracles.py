@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from faultline.llm.licenses import LEAST_CONTAINMENT, NOTICES
+from faultline.llm.licenses import ALL_NOTICES, LEAD, LEAST_CONTAINMENT
 from faultline.llm.licenses import SHINGLE as NOTICE_SHINGLE
 from faultline.llm.line_dedup import LEAST_CHARS, LEAST_DOCUMENTS
+from faultline.llm.notices import FAMILIES
 from faultline.llm.quality import (
     KEPT_SHARE,
     LEAST_WORDS,
@@ -93,7 +94,14 @@ SELECT *, n_words < {LEAST_WORDS}
 FROM measured
 """
 
-_NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in NOTICES.items())
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_NOTICES = ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in ALL_NOTICES.items())
+_FAMILIES = ", ".join(
+    f"({number}, {_quoted(name)})" for number, names in enumerate(FAMILIES) for name in names
+)
 
 
 def _shingles(table: str, key: str) -> str:
@@ -110,16 +118,49 @@ def _shingles(table: str, key: str) -> str:
 
 ORACLES["op8_license_scan"] = f"""
 WITH notices(license, text) AS (VALUES {_NOTICES}),
-known AS (SELECT DISTINCT license, shingle FROM ({_shingles("notices", "license")})),
+families(family, license) AS (VALUES {_FAMILIES}),
+sequences AS ({_shingles("notices", "license")}),
+known AS (SELECT DISTINCT license, shingle FROM sequences),
 sizes AS (SELECT license, count(*) AS n FROM known GROUP BY license),
+texts AS ({_shingles("documents", "doc_id")}),
 found AS (
   SELECT doc_id, license, count(DISTINCT shingle) AS shared, min(pos) AS start_word
-  FROM ({_shingles("documents", "doc_id")}) JOIN known USING (shingle)
-  GROUP BY doc_id, license
+  FROM texts JOIN known USING (shingle) GROUP BY doc_id, license
+),
+enough AS (
+  SELECT doc_id, license, shared / n AS containment, shared, start_word
+  FROM found JOIN sizes USING (license) WHERE shared / n >= {LEAST_CONTAINMENT}::DOUBLE
+),
+-- Where a notice has shingles that a sibling lacks, the first of them in a row tell the two apart.
+lacking AS (
+  SELECT DISTINCT s.license, b.license AS other, s.pos
+  FROM sequences s JOIN families a ON a.license = s.license
+  JOIN families b ON b.family = a.family AND b.license <> a.license
+  WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.license = b.license AND k.shingle = s.shingle)
+),
+rows_of AS (
+  SELECT *, pos - row_number() OVER (PARTITION BY license, other ORDER BY pos) AS streak FROM lacking
+),
+telling AS (
+  SELECT license, pos FROM rows_of
+  QUALIFY row_number() OVER (PARTITION BY license, other, streak ORDER BY pos) <= {NOTICE_SHINGLE}
+),
+spans AS (
+  SELECT license, greatest(min(pos) - {LEAD}, 0) AS low, max(pos) AS high FROM telling GROUP BY license
+),
+runs AS (
+  SELECT license, pos - low AS at, shingle, high - low + 1 AS n
+  FROM sequences JOIN spans USING (license) WHERE pos BETWEEN low AND high
+),
+told AS (
+  SELECT DISTINCT doc_id, license FROM (
+    SELECT t.doc_id, e.license, t.pos - r.at AS start, r.n
+    FROM enough e JOIN texts t USING (doc_id) JOIN runs r ON r.license = e.license AND r.shingle = t.shingle
+  ) GROUP BY doc_id, license, start, n HAVING count(*) = n
 )
-SELECT doc_id, license, shared / n AS containment, shared, start_word
-FROM found JOIN sizes USING (license)
-WHERE shared / n >= {LEAST_CONTAINMENT}::DOUBLE
+SELECT e.* FROM enough e
+WHERE license NOT IN (SELECT license FROM spans)
+   OR EXISTS (SELECT 1 FROM told t WHERE t.doc_id = e.doc_id AND t.license = e.license)
 """
 
 ORACLES["op10_near_dedup"] = rf"""

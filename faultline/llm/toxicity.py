@@ -203,15 +203,16 @@ class Model:
     classifier: LogisticRegressionModel | None
 
     def score(self, docs: DataFrame, prefix: str = "") -> DataFrame:
-        """Add `score`, after `prefix`; all other columns stay as they are."""
+        """Add `score`, after `prefix`; all other columns stay as they are, whatever their names."""
         name = f"{prefix}score"
         if self.classifier is None:
             return docs.withColumn(name, F.lit(float(self.labels.prior)))
-        found = docs.withColumn("_hits", self.voters.hits(F.col("text")))
-        scored = self.classifier.transform(self.vectors.transform(found))
-        return scored.withColumn(name, vector_to_array("_probability")[1]).select(
-            *docs.columns, name
+        # The row is one column, so that none of its names meets one of the model's.
+        found = docs.select(
+            F.struct("*").alias("_row"), self.voters.hits(F.col("text")).alias("_hits")
         )
+        scored = self.classifier.transform(self.vectors.transform(found))
+        return scored.select("_row.*", vector_to_array("_probability")[1].alias(name))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -28,6 +32,7 @@ from faultline.llm import (
     toxicity,
     urls,
 )
+from faultline.llm.oracles import ORACLES
 from faultline.llm.queries import PATTERN, RANKS, WORD_BPE
 
 SCHEMA = "doc_id long, text string, lang string, source string, shard string, kept string"
@@ -462,3 +467,115 @@ def test_url_rules(spark):
     assert all({"host:bad", "path:ads"} <= set(r.tokens) for r in rules) and len(rules) == 1
     assert urls.judge(pages.limit(0), labelled).count() == 0
     assert urls.mine(labelled.limit(0)).count() == 0
+
+
+def test_word_ids_equal_the_tokenizer_whatever_is_remembered(monkeypatch):
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    monkeypatch.setattr(packing, "LINE_WORDS", 7)
+    rng = random.Random(3)
+    odd = ["İstanbul", "ß", "don't!!", "x" * 300, "a.b", "...", "日本", "Σας.", "é́", "12,5", "ﬁn;", "ǅ"]
+    found = packing.WordIds(WORD_BPE)
+    monkeypatch.setattr(packing, "_word_ids", lambda path: found)
+    for _ in range(12):
+        texts = [" ".join(rng.choice(odd + VOCABULARY) + rng.choice(["", ".", "!?"]) for _ in range(rng.randrange(80))) for _ in range(5)]
+        ends, ids = packing.token_ids(texts, WORD_BPE)
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == expected
+        assert len(found.known) <= 50 + len(VOCABULARY) * 3
+    assert packing.token_ids([], WORD_BPE)[1].tolist() == [] and packing.token_ids(["", " "], WORD_BPE)[0].tolist() == [0, 0, 0]
+
+
+def test_cuckoo_hits_are_verified_in_their_two_buckets():
+    """Keys move with their fingerprints: after kicks, growth and deletions each lies in a slot of one of its
+    buckets, and digests of equal fingerprints are told apart."""
+    rng = random.Random(6)
+    shard = exact_dedup.Shard(*[pd.DataFrame(columns=["slot", "digest", "keep_id", "keep_row", "live"])] * 2)
+    live = {}
+    for i in range(4000):
+        digest = hashlib.sha256(str(rng.randrange(2500)).encode()).digest()
+        # Few fingerprints, so that many hits are false.
+        digest = digest[:8] + bytes([digest[8] % 3, 0]) + digest[10:]
+        if rng.random() < 0.25:
+            shard.delete(digest, 1)
+            live[digest] = max(0, live.get(digest, 0) - 1)
+        else:
+            shard.insert(digest, i, i, 1)
+            live[digest] = live.get(digest, 0) + 1
+    kept = {d: n for d, n in live.items() if n}
+    found = shard.filter
+    assert {key[0]: key[3] for _, key in found.keys()} == kept and found.stored == len(kept)
+    for slot, key in found.keys():
+        mark, first, second = found.places(key[0])
+        assert slot // exact_dedup.SLOTS in (first, second) and found.slots[slot] == mark
+        assert found.find(key[0]) == slot
+    strangers = [b"\0" * 8 + bytes([i % 3, 0]) + hashlib.sha256(str(i).encode()).digest()[:22] for i in range(500)]
+    assert any(map(found.hit, strangers)) and not any(found.find(d) is not None for d in strangers)
+
+
+def test_deep_paths_are_mined_in_seconds(spark):
+    """60 rows that share a path of 40 parts: one class for the miner, and one rule."""
+    deep = "/".join(f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40))
+    train = [(f"http://h{'abcdef'[i % 6]}.example.org/{deep}/{i}", True) for i in range(60)]
+    train += [(f"http://h{'abcdef'[i % 6]}.example.org/news/{i}", False) for i in range(180)]
+    began = time.monotonic()
+    rules = urls.mine(spark.createDataFrame(train, "url string, block boolean")).collect()
+    assert time.monotonic() - began < 60
+    assert [len(r.tokens) for r in rules] == [1] and len(rules[0].alike[0]) == 40
+
+
+def test_mined_verdicts_equal_an_enumeration(spark):
+    rng = random.Random(12)
+    names = ["ads", "news", "shop", "blog", "img"]
+
+    def url():
+        parts = [rng.choice(names) for _ in range(rng.randrange(3))]
+        return f"http{rng.choice(['', 's'])}://{rng.choice(['x', 'y', 'z'])}.site.dev/" + "/".join(parts) + rng.choice(["", "?q=1", "?id=2"])
+
+    def kinds(u):
+        host, _, rest = u.split("://")[1].partition("/")
+        path, _, query = rest.partition("?")
+        out = {f"scheme:{u.split(':')[0]}", *(f"host:{h}" for h in host.split(".")), *(f"path:{p}" for p in path.split("/") if p)}
+        return frozenset(out | ({f"query:{query.split('=')[0]}"} if query else set()))
+
+    train = []
+    for _ in range(400):
+        u = url()
+        bad = "ads" in u and "/x." in u or "shop" in u and "id" in u
+        train.append((u, bad if rng.random() < 0.9 else not bad))
+    rows = [(kinds(u), b) for u, b in train]
+    every = {c for t, _ in rows for k in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), k)}
+    counts = {c: (sum(set(c) <= t for t, _ in rows), sum(b and set(c) <= t for t, b in rows)) for c in every}
+    rules = {c: hit / n for c, (n, hit) in counts.items() if hit >= 20 and hit / n >= 0.6}
+    pages = sorted({url() for _ in range(300)})
+    expected = {u: max((s for c, s in rules.items() if set(c) <= kinds(u)), default=None) for u in pages}
+    judged = urls.judge(
+        spark.createDataFrame(list(enumerate(pages)), "page_id long, url string"),
+        spark.createDataFrame(train, "url string, block boolean"),
+    ).collect()
+    assert rules and any(expected.values()) and not all(expected.values())
+    for r in judged:
+        sure = expected[pages[r.page_id]]
+        assert r.verdict == ("block" if sure else "allow")
+        assert (r.confidence is None) == (sure is None) and (sure is None or r.confidence == pytest.approx(sure))
+
+
+def test_licenses_equal_sql_on_edited_notices(spark):
+    """All templates with their siblings, whole and with words changed, against the SQL of the same rule; what
+    banding misses is counted."""
+    rng = random.Random(21)
+    rows = []
+    for notice in licenses.ALL_NOTICES.values():
+        for edits in (0, 0, 1, 1, 2):
+            some = notice.split()
+            for _ in range(edits):
+                some[rng.randrange(len(some))] = rng.choice(["other", "word", ""])
+            before, after = ([rng.choice(VOCABULARY) for _ in range(rng.randrange(30))] for _ in range(2))
+            rows.append((len(rows), " ".join([*before, *some, *after])))
+    columns = ["doc_id", "license", "containment", "shared", "start_word"]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    expected = set(duckdb.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES['op8_license_scan']})").fetchall())
+    got = set(map(tuple, licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).select(columns).collect()))
+    whole = {r for r in expected if r[0] % 5 < 2}
+    assert len(whole) >= 2 * len(licenses.ALL_NOTICES) and got <= expected
+    assert whole <= got and len(got) >= 0.99 * len(expected)

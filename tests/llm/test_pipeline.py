@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -45,3 +46,43 @@ def test_empty_documents(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+INNER = [
+    "_hits", "_vector", "_raw", "_probability", "_prediction", "_toxic_score", "_lang_pred", "_score",
+    "_language_score", "_content", "_id", "_wanted", "_row", "row", "id", "content", "set", "bands", "digest",
+]
+
+
+def test_stages_leave_columns_of_any_name_as_they_are(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table.withColumns({name: F.concat(F.lit(name), F.col("doc_id")) for name in INNER})
+    docs = docs.withColumn("big", F.when(F.col("doc_id") % 3 > 0, 2**62 + F.col("doc_id")))
+    before = {r.doc_id: r for r in docs.collect()}
+    plain = table
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs, plain = stage(spark, docs, sf_dir), stage(spark, plain, sf_dir)
+        assert docs.columns == [*table.columns, *INNER, "big"]
+        docs, plain = docs.checkpoint(), plain.checkpoint()
+        rows = docs.collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect())
+        assert all(r == before[r.doc_id] for r in rows)
+
+
+def near_rows(n, doc_id):
+    """Two long texts with `n` near copies each, and `n` texts of their own."""
+    base = [" ".join(f"{k}word{i}" for i in range(120)) for k in "ab"]
+    rows = [(doc_id(3 * i + j), f"{b} tail{i}") for i in range(n) for j, b in enumerate(base)]
+    return rows + [(doc_id(3 * i + 2), " ".join(f"own{i}x{k}" for k in range(20))) for i in range(n)]
+
+
+@pytest.mark.parametrize("ids", ["none", "repeated", "unique"])
+def test_one_near_copy_stays_whatever_the_identifiers(spark, sf_dir, ids):
+    doc_id = {"none": lambda i: None, "repeated": lambda i: i % 5, "unique": lambda i: i}[ids]
+    rows = near_rows(1000, doc_id) + [(doc_id(1), None), (doc_id(1), " ")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, at int")
+    kept = corpus_pipeline.drop_near_copies(spark, docs.repartition(6), sf_dir).collect()
+    assert {(r.doc_id, r.text) for r in kept} <= {(d, t) for d, t in rows}
+    texts = [r.text or "" for r in kept]
+    assert sum(t.startswith("aword") for t in texts) == sum(t.startswith("bword") for t in texts) == 1
+    assert sum(t.startswith("own") for t in texts) == 1000 and len(kept) == 1004
