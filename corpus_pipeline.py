@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faultline.llm import exact_dedup, language, near_dup, packing, toxicity
-from faultline.llm.common import keep_rows, read_table, staged
+from faultline.llm.common import keep_rows, new_prefix, read_table, staged
 from faultline.llm.queries import WORD_BPE
 
 # A text is in no language if its own has a smaller share of its letters than this.
@@ -17,14 +17,17 @@ LEAST_SHARE = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score is below one half."""
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
-    scored = model.score(docs, prefix="_toxic_")
-    return scored.filter(F.col("_toxic_score") < 0.5).select(*docs.columns)
+    prefix = new_prefix(docs, "_toxic_")
+    scored = model.score(docs, prefix)
+    return scored.filter(F.col(f"{prefix}score") < 0.5).select(*docs.columns)
 
 
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with letters, most of them in spans of one language."""
-    found = language.predict(docs, language.fit(docs), prefix="_")
-    known = (F.col("_lang_pred") != language.UNKNOWN) & (F.col("_score") >= LEAST_SHARE)
+    prefix = new_prefix(docs, "_language_")
+    found = language.predict(docs, language.fit(docs), prefix)
+    known = F.col(f"{prefix}lang_pred") != language.UNKNOWN
+    known &= F.col(f"{prefix}score") >= LEAST_SHARE
     return found.filter(known).select(*docs.columns)
 
 
@@ -36,8 +39,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies."""
-    kept = near_dup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return near_dup.deduplicated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from faultline.schemas import (
     RAW_CITY_READINGS,
     RAW_READINGS,
 )
-from faultline.session import build_session
+from faultline.session import build_session, scratch
 from faultline.sources.readers import read_csv, read_parquet, read_stream
 from faultline.sources.sinks import save_tables, write_csv, write_days, write_parquet
 from faultline.streaming import alerts, messages, repair
@@ -206,7 +206,9 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: Sequence[str], spark: SparkSession | None = None) -> None:
     args = parser().parse_args(arguments)
-    args.run(spark or build_session(f"faultline-{args.job}"), args)
+    spark = spark or build_session(f"faultline-{args.job}")
+    with scratch(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

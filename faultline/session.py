@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ def build_session(app: str = "faultline", master: str | None = None, **conf: obj
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # State of streams on disk, and of each batch only its changes in the checkpoint.
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -46,11 +48,42 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="faultline-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
+
+
+# The folders handed out inside each open `scratch` block.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what was stored in the shared folder inside the block, at its end: intermediate results,
+    not what was written to other paths. Results must be written or collected before."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is; nothing happens if there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Compute `df` once and keep it in reliable storage, so lost executors cost no recomputation."""
+    """Compute `df` once and keep it in reliable storage, so lost executors cost no recomputation.
+
+    Spark deletes checkpoints that nothing refers to any more if the session says so
+    (`spark.cleaner.referenceTracking.cleanCheckpoints`).
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))

@@ -46,3 +46,53 @@ def test_from_landed_files_to_alerts(spark, tmp_path):
     job("watch", "--source-format", "text", "--source-option", "path=@messages", "--format", "parquet",
         "--option", "path=@alerts", "--checkpoint", "@checkpoint", "--once")
     assert table("alerts").count() > 0
+
+
+def test_jobs_by_day_paced_and_mended(spark, tmp_path):
+    def job(*arguments):
+        main([a.replace("@", f"{tmp_path}/") for a in arguments], spark)
+
+    def table(name):
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    raw = event_texts(spark, SMALL).select(*RAW_CITY_READINGS.names)
+    write_csv(raw, f"{tmp_path}/raw")
+    job("clean", "--source", "@raw", "--city", "--target", "@clean")
+    job("land", "--source", "@clean", "--target", "@days")
+    for name in ("horaire", "precurseurs"):
+        job("publish", "--source", "@days", "--target", f"@{name}", "--table", name)
+        before = table(name).count()
+        job("publish", "--source", "@days", "--target", f"@{name}", "--table", name,
+            "--first", "2024-01-05", "--last", "2024-01-09")
+        assert table(name).count() == before
+    timed = table("clean").filter("date IS NOT NULL").count()
+    assert table("horaire").selectExpr("sum(nombre_observations)").first()[0] == timed
+
+    job("replay", "--source", "@clean", "--format", "text", "--option", "path=@messages", "--laps", "2",
+        "--lap-seconds", "5184000", "--files-per-trigger", "2", "--checkpoint", "@replay-state")
+    sent = spark.read.text(f"{tmp_path}/messages")
+    assert sent.count() == 2 * table("clean").count()
+
+    (tmp_path / "messages/lap=1/odd.txt").write_text("no json")
+    job("watch", "--source-format", "text", "--source-option", "path=@messages", "--format", "text",
+        "--option", "path=@sent", "--checkpoint", "@watch-state", "--table", "@alerts", "--rejects", "@rejects",
+        "--ledger", "@ledger", "--once")
+    assert spark.read.text(f"{tmp_path}/sent").count() == table("alerts").count() > 0
+    assert "no json" in {r.value for r in spark.read.text(f"{tmp_path}/rejects").collect()}
+    job("mend", "--source", "@ledger", "--target", "@mended")
+    assert table("mended").count() == table("alerts").count()
+
+
+def test_jobs_leave_no_scratch_behind(spark, tmp_path, monkeypatch):
+    from faultline import session
+
+    made = []
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: made.append(tmp_path / f"base{len(made)}") or str(made[-1]))
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
+    monkeypatch.setattr(session, "stage", lambda df: session.stage_table(df, "stage"))
+    raw = event_texts(spark, SMALL).select(*RAW_CITY_READINGS.names)
+    write_csv(raw, f"{tmp_path}/raw")
+    main(["clean", "--source", f"{tmp_path}/raw", "--city", "--target", f"{tmp_path}/clean"], spark)
+    main(["precursors", "--source", f"{tmp_path}/clean", "--entity", "ville", "--target", f"{tmp_path}/out"], spark)
+    assert made and not [p for base in made for p in base.rglob("*") if p.is_file()]
+    assert (tmp_path / "out/precurseurs").is_dir()
