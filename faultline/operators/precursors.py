@@ -117,7 +117,8 @@ def precursor_features(
     if crowded.isEmpty():
         linked = _linked(rows.join(frames, at), at, cols)
     else:
-        told = attach(rows, crowded, at)
+        # Where a reading was read tells equal ones apart.
+        told = attach(rows.withColumn("_task", F.spark_partition_id()), crowded, at)
         sliced, cells = _sliced(told, at, crowded, frames, cols)
         plain = told.filter(F.col("_crowd").isNull()).join(frames, at)
         linked = _linked(plain, at, cols).unionByName(
@@ -187,7 +188,7 @@ def _sliced(
     own = (F.get("_bounds", F.col("_slice")) == F.col("_order")) & (
         F.get("_bounds", F.col("_slice") + 1) == F.col("_order")
     )
-    part = F.when(F.coalesce(own, F.lit(False)), F.spark_partition_id()).otherwise(-1)
+    part = F.when(F.coalesce(own, F.lit(False)), F.col("_task")).otherwise(-1)
     sliced = stage_table(
         cut.withColumn("_part", part).drop("_bounds", "_steps", "_step"), "slices"
     )
