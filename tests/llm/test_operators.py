@@ -579,3 +579,31 @@ def test_licenses_equal_sql_on_edited_notices(spark):
     whole = {r for r in expected if r[0] % 5 < 2}
     assert len(whole) >= 2 * len(licenses.ALL_NOTICES) and got <= expected
     assert whole <= got and len(got) >= 0.99 * len(expected)
+
+
+def test_shards_equal_draws_by_hand(spark):
+    """Every level of both trees drawn in plain Python, for rows with, without and with repeated identifiers."""
+    keys = [*range(-200, 400), 2**62, -(2**63), 7, 7, None, None]
+    docs = spark.createDataFrame([(k, f"text {k}") for k in keys], "doc_id long, text string")
+
+    def draw(level, node, key, weight):
+        seed = xxhash.xxh64_intdigest(level.encode(), 42)
+        seed = xxhash.xxh64_intdigest(node.to_bytes(4, "little"), seed)
+        h = seed if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed)
+        return -np.log(((h >> 11) + 0.5) / 2**53) / weight
+
+    def shard(key, tree):
+        rows, node = tree, None
+        for level, name in (("region", "region"), ("rack", "rack"), ("shard", "shard")):
+            weights = Counter()
+            for s in rows:
+                weights[getattr(s, name)] += s.weight
+            node = min(weights, key=lambda n: (draw(level, n, key, weights[n]), n))
+            rows = [s for s in rows if getattr(s, name) == node]
+        return node
+
+    trees = [sharding.even_tree(n) for n in (16, 17)]
+    expected = Counter((k, *(shard(k, tree) for tree in trees)) for k in keys)
+    rows = sharding.place(docs.repartition(5)).collect()
+    assert Counter((r.doc_id, r.shard, r.grown_shard) for r in rows) == expected
+    assert any(r.grown_shard == 16 for r in rows)
