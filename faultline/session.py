@@ -72,10 +72,30 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """A path, and the file system it is on."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is; nothing happens if there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    found, files = _hadoop(spark, path)
+    files.delete(found, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    found, files = _hadoop(spark, path)
+    if not files.rename(found, _hadoop(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it does not exist."""
+    found, files = _hadoop(spark, path)
+    if not files.exists(found):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(found))
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from faultline.session import folder_names, remove, rename
+
 BATCH = "batch"
+# Begins the names of folders that readers do not see.
+FOLDED = "_folded-"
 
 
 def batch_folder(path: str, batch: int) -> str:
@@ -59,7 +63,46 @@ def read_upserts(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
     """One row for each key: that of its last batch."""
+    return _latest(read_batches(spark, path, schema), schema, keys)
+
+
+def _latest(rows: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     rest = [name for name in schema.names if name not in keys]
     last = F.max_by(F.struct(*rest), BATCH).alias("_last")
-    found = read_batches(spark, path, schema).groupBy(*keys).agg(last)
-    return found.select(*keys, "_last.*").select(*schema.names)
+    return rows.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*schema.names)
+
+
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+) -> None:
+    """Fold all batches but the last into one folder, that of the last but one.
+
+    The last batch is left alone, as it may run again. The folder that takes the place is complete by
+    itself, so older folders beside it change no result. If a compaction fails just before it is put in
+    place, its rows are missing until the next one, which begins with that.
+    """
+    path = path.rstrip("/")
+    names = folder_names(spark, path)
+    for name in (name for name in names if name.startswith(FOLDED)):
+        target = f"{BATCH}={name.removeprefix(FOLDED)}"
+        if target in names or "_SUCCESS" not in folder_names(spark, f"{path}/{name}"):
+            remove(spark, f"{path}/{name}")
+        else:
+            rename(spark, f"{path}/{name}", f"{path}/{target}")
+    batches = sorted(
+        int(name.removeprefix(f"{BATCH}="))
+        for name in folder_names(spark, path)
+        if name.startswith(f"{BATCH}=")
+    )
+    if len(batches) < 3:
+        return
+    *older, target, _ = batches
+    numbered = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    folders = [batch_folder(path, number) for number in (*older, target)]
+    rows = spark.read.schema(numbered).option("basePath", path).parquet(*folders)
+    folded = f"{path}/{FOLDED}{target}"
+    _latest(rows, schema, keys).write.parquet(folded)
+    remove(spark, batch_folder(path, target))
+    rename(spark, folded, batch_folder(path, target))
+    for number in older:
+        remove(spark, batch_folder(path, number))

@@ -226,3 +226,38 @@ def test_one_stream_feeds_the_table_and_the_messages(spark, tmp_path):
     assert len(sent) == table.count() == 6
     expected = {(r.window.start.strftime("%Y-%m-%d %H:%M:%S"), r.nb_secousses, r.alert_message) for r in table.collect()}
     assert {(x["window_start"], x["nb_secousses"], x["alert_message"]) for x in sent} == expected
+
+
+@pytest.mark.parametrize("broken", [None, "rename", "remove"])
+def test_compaction_changes_no_result(spark, tmp_path, monkeypatch, broken):
+    """Also where it fails before or after the folder is replaced, and is called again."""
+    schema = spark.createDataFrame([(1, "a")], "k int, v string").schema
+    path = str(tmp_path / "rows")
+
+    def write(number):
+        rows = [(k, f"{k}-{number}") for k in range(number, number + 4)]
+        folder = upserts.batch_folder(path, number)
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(folder)
+
+    def found():
+        return collect(upserts.read_upserts(spark, path, schema, ["k"]), "k")
+
+    for number in range(6):
+        write(number)
+    expected = found()
+    if broken:
+        def fail(*arguments):
+            raise OSError("lost")
+
+        whole = getattr(upserts, broken)
+        calls = []
+        # The second removal comes after the folder was replaced.
+        monkeypatch.setattr(upserts, broken, lambda *a: fail() if broken == "rename" or calls else calls.append(whole(*a)))
+        with pytest.raises(OSError):
+            upserts.compact(spark, path, schema, ["k"])
+        monkeypatch.setattr(upserts, broken, whole)
+    upserts.compact(spark, path, schema, ["k"])
+    assert found() == expected
+    write(5)
+    assert found() == expected
+    assert sorted(p.name for p in (tmp_path / "rows").iterdir()) == ["batch=4", "batch=5"]
