@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -114,6 +114,21 @@ def arrow_portions(
             yield batch.slice(start)
 
 
+def by_portion(
+    work: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text"
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for `mapInArrow` that applies `work` to one portion of texts at a time. What a portion
+    took is free before the next one comes, and goes back to the system after the last."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for portion in arrow_portions(batches, column):
+            yield work(portion)
+            del portion
+        release_memory()
+
+    return run
+
+
 def coded_words(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The words of texts inside Python code, the same as `words` has: the distinct ones, the number
     of each word in order, and where each text starts and ends in that order."""

@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.llm.common import (
-    arrow_portions,
+    by_portion,
     coded_words,
     gather,
     held_out,
     mix,
     offsets_of,
     portions,
-    release_memory,
 )
 
 # N-grams are hashed into this many buckets: the model has as many numbers per language.
@@ -273,37 +272,33 @@ def predict(docs: DataFrame, model: Model, prefix: str = "", spans: bool = False
     kinds = [pa.string(), pa.float64(), pa.list_(pa.struct(parts))][: len(names)]
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        for batch in arrow_portions(batches, "text"):
-            words = Words(batch.column("text").fill_null("").to_pylist())
-            rows = []
-            sizes = words.sizes[words.codes]
-            for start, path in zip(words.ends, model.label(words), strict=False):
-                letters = np.bincount(
-                    path, sizes[start : start + len(path)], len(model.languages)
-                )
-                total = letters.sum() if len(letters) else 0
-                if not total:
-                    rows.append((UNKNOWN, 0.0, []))
-                    continue
-                best = int(letters.argmax())
-                runs = []
-                if spans:
-                    edges = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
-                    runs = [
-                        {"start": int(a), "words": int(b - a), "lang": model.languages[path[a]]}
-                        for a, b in zip(edges, edges[1:], strict=False)
-                    ]
-                rows.append((model.languages[best], float(letters[best] / total), runs))
-            columns = list(zip(*rows, strict=True))
-            added = [
-                pa.array(list(column), kind) for column, kind in zip(columns, kinds, strict=False)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
-        release_memory()
+        words = Words(batch.column("text").fill_null("").to_pylist())
+        rows = []
+        sizes = words.sizes[words.codes]
+        for start, path in zip(words.ends, model.label(words), strict=False):
+            letters = np.bincount(path, sizes[start : start + len(path)], len(model.languages))
+            total = letters.sum() if len(letters) else 0
+            if not total:
+                rows.append((UNKNOWN, 0.0, []))
+                continue
+            best = int(letters.argmax())
+            runs = []
+            if spans:
+                edges = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
+                runs = [
+                    {"start": int(a), "words": int(b - a), "lang": model.languages[path[a]]}
+                    for a, b in zip(edges, edges[1:], strict=False)
+                ]
+            rows.append((model.languages[best], float(letters[best] / total), runs))
+        columns = list(zip(*rows, strict=True))
+        added = [
+            pa.array(list(column), kind) for column, kind in zip(columns, kinds, strict=False)
+        ]
+        return pa.RecordBatch.from_arrays([*batch.columns, *added], schema.names)
 
-    return docs.mapInArrow(label, schema)
+    return docs.mapInArrow(by_portion(label), schema)
 
 
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

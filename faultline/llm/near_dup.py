@@ -26,12 +26,11 @@ from pyspark.sql import types as T
 
 from faultline.llm.common import (
     NOT_BLANKS,
-    arrow_portions,
+    by_portion,
     coded_words,
     keep_rows,
     mix,
     portions,
-    release_memory,
     staged,
 )
 from faultline.session import scratch_dir
@@ -115,21 +114,20 @@ def sketches(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows: in
         ]
     )
 
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_portions(batches, "text"):
-            sets = shingle_sets(batch.column("text").fill_null("").to_pylist(), width)
-            keys = [band_keys(sketch(s, bands * rows), bands) if len(s) else [] for s in sets]
-            columns = [
-                batch.column("doc_id"),
-                batch.column("content"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
-        release_memory()
-
-    return docs.select("doc_id", _content().alias("content"), "text").mapInArrow(compute, schema)
+    def compute(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column("text").fill_null("").to_pylist(), width)
+        keys = [band_keys(sketch(s, bands * rows), bands) if len(s) else [] for s in sets]
+        columns = [
+            batch.column("doc_id"),
+            batch.column("content"),
+            pa.array([len(s) for s in sets], pa.int64()),
+            pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
+            pa.array(keys, pa.list_(pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema.names)
+
+    named = docs.select("doc_id", _content().alias("content"), "text")
+    return named.mapInArrow(by_portion(compute), schema)
 
 
 def _content() -> Column:

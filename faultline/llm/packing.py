@@ -28,12 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faultline.llm.common import (
-    arrow_portions,
+    by_portion,
     coded_words,
     gather,
     offsets_of,
     ranked,
-    release_memory,
     staged,
 )
 
@@ -51,8 +50,6 @@ CACHE_BYTES = 40
 # about a hundred bytes per token.
 LINE_WORDS = 500
 LINES = 20
-# Characters of texts that are split at a time.
-SPLIT_CHARS = 4_000_000
 # Fixed value: how the vocabulary marks the end of a word.
 WORD_END = "</w>"
 
@@ -220,35 +217,34 @@ def pieces(
     ]
     schema = T.StructType(fields)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.asarray([end_id], "<u4").tobytes()
-        for batch in arrow_portions(batches, "text", SPLIT_CHARS):
-            ends, ids = token_ids(batch.column("text").fill_null("").to_pylist(), path)
-            held, bounds = memoryview(ids.astype("<u4").tobytes()), ends.tolist()
-            rows, starts, sizes, totals, sums, kept = [], [], [], [], [], []
-            for row, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                total = last - first + 1
-                for start in range(0, total, capacity):
-                    size = min(capacity, total - start)
-                    at = first + start
-                    piece = bytes(held[4 * at : 4 * min(at + size, last)])
-                    if at + size > last:
-                        piece += end
-                    rows.append(row)
-                    starts.append(start)
-                    sizes.append(size)
-                    totals.append(total)
-                    sums.append(zlib.crc32(piece))
-                    if with_ids:
-                        kept.append(piece)
-            numbers = [pa.array(column, pa.int64()) for column in (starts, sizes, totals, sums)]
-            columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *numbers]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, *([pa.array(kept, pa.binary())] if with_ids else [])], schema.names
-            )
-        release_memory()
-
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    end = np.asarray([end_id], "<u4").tobytes()
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ends, ids = token_ids(batch.column("text").fill_null("").to_pylist(), path)
+        held, bounds = memoryview(ids.astype("<u4").tobytes()), ends.tolist()
+        rows, starts, sizes, totals, sums, kept = [], [], [], [], [], []
+        for row, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            total = last - first + 1
+            for start in range(0, total, capacity):
+                size = min(capacity, total - start)
+                at = first + start
+                piece = bytes(held[4 * at : 4 * min(at + size, last)])
+                if at + size > last:
+                    piece += end
+                rows.append(row)
+                starts.append(start)
+                sizes.append(size)
+                totals.append(total)
+                sums.append(zlib.crc32(piece))
+                if with_ids:
+                    kept.append(piece)
+        numbers = [pa.array(column, pa.int64()) for column in (starts, sizes, totals, sums)]
+        columns = [batch.column("doc_id").take(pa.array(rows, pa.int64())), *numbers]
+        return pa.RecordBatch.from_arrays(
+            [*columns, *([pa.array(kept, pa.binary())] if with_ids else [])], schema.names
+        )
+
+    return docs.select("doc_id", "text").mapInArrow(by_portion(cut), schema)
 
 
 # --- patterns -----------------------------------------------------------------------------------
