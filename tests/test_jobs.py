@@ -86,13 +86,11 @@ def test_jobs_by_day_paced_and_mended(spark, tmp_path):
 def test_jobs_leave_no_scratch_behind(spark, tmp_path, monkeypatch):
     from faultline import session
 
-    made = []
-    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: made.append(tmp_path / f"base{len(made)}") or str(made[-1]))
-    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", lambda: None)
-    monkeypatch.setattr(session, "stage", lambda df: session.stage_table(df, "stage"))
+    made, whole = [], session.scratch_dir
+    monkeypatch.setattr(session, "scratch_dir", lambda *a: made.append(whole(*a)) or made[-1])
     raw = event_texts(spark, SMALL).select(*RAW_CITY_READINGS.names)
     write_csv(raw, f"{tmp_path}/raw")
     main(["clean", "--source", f"{tmp_path}/raw", "--city", "--target", f"{tmp_path}/clean"], spark)
     main(["precursors", "--source", f"{tmp_path}/clean", "--entity", "ville", "--target", f"{tmp_path}/out"], spark)
-    assert made and not [p for base in made for p in base.rglob("*") if p.is_file()]
+    assert made and not any(session.folder_names(spark, path) for path in made)
     assert (tmp_path / "out/precurseurs").is_dir()
