@@ -37,9 +37,9 @@ PORTION_BYTES = 16_000_000
 CUT_BYTES = 2_000_000
 
 # Pre-tokens are divided for the shuffle by a hash, and portions by another into blocks of about so many
-# (4 GB of texts); the distinct pre-tokens of a division and block are remembered together.
+# (1 GB of texts); the distinct pre-tokens of a division and block are remembered together.
 DIVISIONS = 128
-BLOCK_PORTIONS = 256
+BLOCK_PORTIONS = 64
 # So many distinct pre-tokens of one are remembered at a time; more are looked up afresh.
 MOST_KNOWN = 500_000
 # Ranks that take one byte, and the byte that stands for the next pre-token that occurs only once.
