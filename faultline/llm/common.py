@@ -115,13 +115,15 @@ def arrow_portions(
 
 
 def by_portion(
-    work: Callable[[pa.RecordBatch], pa.RecordBatch], column: str = "text"
+    work: Callable[[pa.RecordBatch], pa.RecordBatch],
+    column: str = "text",
+    most: int = PORTION_CHARS,
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for `mapInArrow` that applies `work` to one portion of texts at a time. What a portion
     took is free before the next one comes, and goes back to the system after the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for portion in arrow_portions(batches, column):
+        for portion in arrow_portions(batches, column, most):
             yield work(portion)
             del portion
         release_memory()
@@ -129,10 +131,15 @@ def by_portion(
     return run
 
 
-def coded_words(texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+def coded_words(texts: Sequence[str] | pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The words of texts inside Python code, the same as `words` has: the distinct ones, the number
     of each word in order, and where each text starts and ends in that order."""
-    split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+    if isinstance(texts, pa.Array):
+        # Rows are taken rather than sliced: string kernels misread the offsets of slices.
+        texts = texts.cast(pa.large_string()).take(pa.array(np.arange(len(texts))))
+    else:
+        texts = pa.array(texts, pa.large_string())
+    split = pc.ascii_split_whitespace(texts)
     coded = split.flatten().dictionary_encode()
     ends = split.offsets.to_numpy() - split.offsets[0].as_py()
     numbers = coded.indices.to_numpy()

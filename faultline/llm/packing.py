@@ -50,6 +50,8 @@ CACHE_BYTES = 40
 # about a hundred bytes per token.
 LINE_WORDS = 500
 LINES = 20
+# Bytes of texts that are split at a time: distinct words are fewer in larger portions.
+SPLIT_BYTES = 4_000_000
 # Fixed value: how the vocabulary marks the end of a word.
 WORD_END = "</w>"
 
@@ -171,7 +173,7 @@ def _tails(words: pa.Array, sizes: np.ndarray) -> pa.Array:
     )
 
 
-def token_ids(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(texts: pa.Array | list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts: where those of each start and end, and all of them in order.
 
     Each distinct word is encoded once. A word of letters and marks after them is two parts, which are
@@ -220,7 +222,7 @@ def pieces(
     end = np.asarray([end_id], "<u4").tobytes()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ends, ids = token_ids(batch.column("text").fill_null("").to_pylist(), path)
+        ends, ids = token_ids(batch.column("text").fill_null(""), path)
         held, bounds = memoryview(ids.astype("<u4").tobytes()), ends.tolist()
         rows, starts, sizes, totals, sums, kept = [], [], [], [], [], []
         for row, (first, last) in enumerate(zip(bounds, bounds[1:], strict=False)):
@@ -244,7 +246,7 @@ def pieces(
             [*columns, *([pa.array(kept, pa.binary())] if with_ids else [])], schema.names
         )
 
-    return docs.select("doc_id", "text").mapInArrow(by_portion(cut), schema)
+    return docs.select("doc_id", "text").mapInArrow(by_portion(cut, most=SPLIT_BYTES), schema)
 
 
 # --- patterns -----------------------------------------------------------------------------------
