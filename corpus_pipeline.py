@@ -10,6 +10,9 @@ from faultline.llm import exact_dedup, language, near_dup, packing, toxicity
 from faultline.llm.common import keep_rows, new_prefix, read_table, staged
 from faultline.llm.queries import WORD_BPE
 
+# The executors still hold what the stages before took, so texts are packed in small portions.
+PORTION_BYTES = 1_000_000
+
 # A text is in no language if its own has a smaller share of its letters than this.
 LEAST_SHARE = 0.5
 
@@ -43,7 +46,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, WORD_BPE)
+    return packing.pack(docs, WORD_BPE, portion=PORTION_BYTES)
 
 
 STAGES = [
