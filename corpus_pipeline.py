@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from faultline.llm import exact_dedup, language, near_dup, packing, toxicity
 from faultline.llm.common import keep_rows, new_prefix, read_table, staged
 from faultline.llm.queries import WORD_BPE
+from faultline.session import arrow_batches
 
-# The executors still hold what the stages before took, so texts are packed in small portions.
+# The executors still hold what the stages before took, so texts go to Python in batches of few rows,
+# and are labelled and packed in small portions.
+BATCH_ROWS = 250
 PORTION_BYTES = 1_000_000
 
 # A text is in no language if its own has a smaller share of its letters than this.
@@ -28,10 +31,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with letters, most of them in spans of one language."""
     prefix = new_prefix(docs, "_language_")
-    found = language.predict(docs, language.fit(docs), prefix)
     known = F.col(f"{prefix}lang_pred") != language.UNKNOWN
     known &= F.col(f"{prefix}score") >= LEAST_SHARE
-    return found.filter(known).select(*docs.columns)
+    with arrow_batches(spark, BATCH_ROWS):
+        model = language.fit(docs, portion=PORTION_BYTES)
+        found = language.predict(docs, model, prefix, portion=PORTION_BYTES)
+        return staged(found.filter(known).select(*docs.columns), "known")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +47,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near copies."""
-    return near_dup.deduplicated(docs)
+    with arrow_batches(spark, BATCH_ROWS):
+        return near_dup.deduplicated(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, WORD_BPE, portion=PORTION_BYTES)
+    with arrow_batches(spark, BATCH_ROWS):
+        return packing.pack(docs, WORD_BPE, portion=PORTION_BYTES)
 
 
 STAGES = [

@@ -54,6 +54,20 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Tasks started inside the block give Python at most so many rows at a time. Each task holds a batch
+    in the JVM and again in its worker, beside the one before, so long texts need few rows. What is not
+    computed at the end of the block is computed with the settings from before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # The folders handed out inside each open `scratch` block.
 _SCOPES: list[list[str]] = []
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from faultline.llm import exact_dedup, near_dup
+from faultline.llm import exact_dedup, language, near_dup
 from faultline.llm.oracles import ORACLES
 
 
@@ -86,3 +86,44 @@ def test_one_near_copy_stays_whatever_the_identifiers(spark, sf_dir, ids):
     texts = [r.text or "" for r in kept]
     assert sum(t.startswith("aword") for t in texts) == sum(t.startswith("bword") for t in texts) == 1
     assert sum(t.startswith("own") for t in texts) == 1000 and len(kept) == 1004
+
+
+@pytest.mark.parametrize(
+    ("stage", "operator"),
+    [
+        ("drop_unknown_languages", "language.predict"),
+        ("drop_near_copies", "near_dup.deduplicated"),
+        ("pack", "packing.pack"),
+    ],
+)
+def test_texts_go_to_python_in_batches_of_few_rows(spark, sf_dir, monkeypatch, stage, operator):
+    most = corpus_pipeline.BATCH_ROWS
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def small(batches):
+        for batch in batches:
+            if batch.num_rows <= most:
+                yield batch
+
+    def stand_in(docs, model=None, prefix="", portion=None):
+        found = docs.mapInArrow(small, docs.schema)
+        if operator != "language.predict":
+            return found.localCheckpoint()
+        return found.withColumns({f"{prefix}lang_pred": F.lit("en"), f"{prefix}score": F.lit(1.0)})
+
+    monkeypatch.setattr(f"faultline.llm.{operator}", stand_in)
+    rows = 3 * most + 1
+    docs = spark.range(0, rows, 1, 1).selectExpr("id AS doc_id", "'some words' AS text", "'en' AS lang")
+    assert getattr(corpus_pipeline, stage)(spark, docs, sf_dir).count() == rows
+    assert spark.conf.get(name) == before
+
+
+def test_portions_do_not_change_languages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200).localCheckpoint()
+    few, many = language.fit(docs), language.fit(docs, portion=5_000)
+    assert few.languages == many.languages
+    assert (few.weights == many.weights).all() and (few.writes == many.writes).all()
+    whole = language.predict(docs, few, spans=True).select("doc_id", "lang_pred", "score", "spans")
+    cut = language.predict(docs, few, spans=True, portion=5_000).select(*whole.columns)
+    assert Counter(map(str, whole.collect())) == Counter(map(str, cut.collect()))
