@@ -61,7 +61,7 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     computed at the end of the block is computed with the settings from before."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
     try:
         yield
     finally:
